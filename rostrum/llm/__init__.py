@@ -15,4 +15,6 @@ def registry():
 
 
 def _modules():
-    return ()
+    from . import encode, survivors
+
+    return (encode, survivors)
