@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,25 +21,22 @@ FIRST_ACCESSION = "1945-10-24"
 
 @dataclass(frozen=True)
 class Field:
-    """A field of the survivor; `usable` says whether a row's value may supply it."""
+    """A field of the survivor; `usable` is an SQL condition on whether a row's value may supply it."""
 
     name: str
-    usable: Column
+    usable: str
 
 
-def bare(c: str) -> Column:
-    """Lower case, without brackets, quotes and spaces at the ends."""
-    return F.regexp_replace(F.lower(F.col(c)), r"^[\s(\[{\"']+|[\s)\]}\"']+$", "")
-
-
-def filled(c: str) -> Column:
-    return F.col(c).isNotNull() & ~bare(c).isin(*NO_VALUE)
+def filled(c: str) -> str:
+    """Filled, and in lower case, without brackets, quotes and spaces at the ends, none of NO_VALUE."""
+    known = ", ".join(f"'{x}'" for x in NO_VALUE)
+    return f"""({c} is not null and regexp_replace(lower({c}), r'^[\s(\[{{"\x27]+|[\s)\]}}"\x27]+$', '') not in ({known}))"""
 
 
 COUNTRY_FIELDS = (
-    Field("name", filled("name") & F.col("name").rlike(r"\p{L}{2}")),
-    Field("iso3", filled("iso3") & F.trim("iso3").rlike(r"^[A-Za-z]{3}$")),
-    Field("un_member_since", F.col("un_member_since").between(F.lit(FIRST_ACCESSION).cast("date"), F.coalesce(F.to_date("updated_at"), F.current_date()))),
+    Field("name", f"{filled('name')} and name rlike r'\p{{L}}{{2}}'"),
+    Field("iso3", f"{filled('iso3')} and trim(iso3) rlike '^[A-Za-z]{{3}}$'"),
+    Field("un_member_since", f"un_member_since between date '{FIRST_ACCESSION}' and coalesce(to_date(updated_at), current_date())"),
 )
 
 
@@ -51,8 +48,8 @@ def suppliers(rows: DataFrame, sources: DataFrame, group: str, key: str, fields:
     The filter row_number = 1 lets Spark keep one row for each group and field in each map task before the shuffle (WindowGroupLimit), so that a group with a third of all rows costs no more than others.
     """
     known = sources.select(F.col(source).alias("_source"), F.col(trust).alias("_trust")).groupBy("_source").agg(F.max("_trust").alias("_trust"))
-    full = sum((F.coalesce(f.usable, F.lit(False)).cast("int") for f in fields), F.lit(0))
-    which = F.array_compact(F.array(*(F.when(f.usable, F.lit(f.name)) for f in fields)))
+    full = sum((F.coalesce(F.expr(f.usable), F.lit(False)).cast("int") for f in fields), F.lit(0))
+    which = F.array_compact(F.array(*(F.when(F.expr(f.usable), F.lit(f.name)) for f in fields)))
     each = rows.where(F.col(group).isNotNull()).select(F.col(group).alias("_group"), F.col(key).alias("_key"), F.col(source).alias("_source"), F.col(updated).alias("_updated"), full.alias("_full"), which.alias("_fields"))
     several = each.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("_group")
     ranked = each.join(known, "_source", "left").select("_group", "_key", "_trust", "_updated", "_full", F.explode("_fields").alias("field"))
