@@ -100,13 +100,13 @@ class Encoder:
     def join_leaves(self, left: tuple, right: tuple, left_text: str, right_text: str) -> tuple:
         """Joins two neighbouring stretches of a text.
 
-        The pattern looks at most one character ahead and never back, so all pieces of the left but its last stay; from there on text is split again until a piece ends where one of the right does, and from that point the right's pieces stay. If a piece runs on to the end of what is looked at, more is taken.
+        The pattern looks at most two characters ahead (for 'll and the like) and never back, so all pieces of the left but its last two stay; from there on text is split again until a piece ends where one of the right does, and from that point the right's pieces stay. If a piece runs on to the end of what is looked at, more is taken.
         """
         if not left[1]:
             return right
         if not right[1]:
             return left
-        tail = left_text[len(left_text) - left[1][-1] :]
+        tail = left_text[len(left_text) - sum(left[1][-2:]) :]
         ends, at = {}, len(tail)
         for k, n in enumerate(right[1]):
             at += n
@@ -117,7 +117,7 @@ class Encoder:
             whole = grow >= len(right_text)
             new, keep, kept = [], None, 0
             for m in self.split.finditer(window):
-                if m.end() + 1 >= len(window) and not whole:
+                if m.end() + 2 >= len(window) and not whole:
                     break  # more text might change this piece
                 new.append(m[0])
                 kept = m.end()
@@ -131,9 +131,9 @@ class Encoder:
                 break
             grow *= 4
         parts = [self.tree(x.encode("utf-8", "replace")) for x in new]
-        drop_left, drop_right = left[2][-1], sum(right[2][:keep])
+        drop_left, drop_right = sum(left[2][-2:]), sum(right[2][:keep])
         ids = left[0][: len(left[0]) - drop_left] + [i for p in parts for i in p] + right[0][drop_right:]
-        return ids, left[1][:-1] + [len(x) for x in new] + right[1][keep:], left[2][:-1] + [len(p) for p in parts] + right[2][keep:]
+        return ids, left[1][:-2] + [len(x) for x in new] + right[1][keep:], left[2][:-2] + [len(p) for p in parts] + right[2][keep:]
 
 
 @lru_cache(maxsize=4)

@@ -28,13 +28,13 @@ class Field:
 
 
 def filled(c: str) -> str:
-    """Filled, and in lower case, without brackets, quotes and spaces at the ends, none of NO_VALUE."""
+    """Filled, and in lower case, without brackets and spaces at the ends, none of NO_VALUE."""
     known = ", ".join(f"'{x}'" for x in NO_VALUE)
-    return f"""({c} is not null and regexp_replace(lower({c}), r'^[\s(\[{{"\x27]+|[\s)\]}}"\x27]+$', '') not in ({known}))"""
+    return rf"({c} is not null and regexp_replace(lower({c}), r'^[\s(\[{{]+|[\s)\]}}]+$', '') not in ({known}))"
 
 
 COUNTRY_FIELDS = (
-    Field("name", f"{filled('name')} and name rlike r'\p{{L}}{{2}}'"),
+    Field("name", rf"{filled('name')} and name rlike r'\p{{L}}{{2}}'"),
     Field("iso3", f"{filled('iso3')} and trim(iso3) rlike '^[A-Za-z]{{3}}$'"),
     Field("un_member_since", f"un_member_since between date '{FIRST_ACCESSION}' and coalesce(to_date(updated_at), current_date())"),
 )
@@ -66,7 +66,7 @@ def survivors(rows: DataFrame, supplied: DataFrame, group: str, key: str, fields
 
 
 _PLACEHOLDERS = ", ".join("'" + x + "'" for x in NO_VALUE)
-_BARE = r"regexp_replace(lower({c}), '^[\s(\[{{\x22\x27]+|[\s)\]}}\x22\x27]+$', '', 'g')"
+_BARE = r"regexp_replace(lower({c}), '^[\s(\[{{]+|[\s)\]}}]+$', '', 'g')"
 _SQL = rf"""with usable as (
   select c.merge_group, c.id, c.updated_at, coalesce(s.trust, -1) as trust,
     coalesce(name is not null and {_BARE.format(c="name")} not in ({_PLACEHOLDERS}) and regexp_matches(name, '\pL{{2}}'), false) as ok_name,
