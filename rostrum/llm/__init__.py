@@ -15,6 +15,6 @@ def registry():
 
 
 def _modules():
-    from . import encode, survivors
+    from . import encode, lists, survivors
 
-    return (encode, survivors)
+    return (encode, lists, survivors)
