@@ -15,6 +15,6 @@ def registry():
 
 
 def _modules():
-    from . import encode, lists, survivors
+    from . import encode, leaks, lists, survivors
 
-    return (encode, lists, survivors)
+    return (encode, leaks, lists, survivors)
