@@ -15,6 +15,6 @@ def registry():
 
 
 def _modules():
-    from . import encode, leaks, lists, subjects, survivors, transcripts
+    from . import encode, leaks, lists, noise, subjects, survivors, transcripts
 
-    return (encode, leaks, lists, subjects, survivors, transcripts)
+    return (encode, leaks, lists, noise, subjects, survivors, transcripts)

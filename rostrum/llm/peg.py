@@ -68,11 +68,6 @@ def many(part: Match, name: str = "", least: int = 0) -> Match:
     return match
 
 
-def unless(part: Match) -> Match:
-    """Matches nothing, where the part doesn't match."""
-    return lambda s, i: (("", ""), i) if part(s, i) is None else None
-
-
 def later(get: Callable[[], Match]) -> Match:
     """A matcher that is defined later; for grammars that hold themselves."""
     return lambda s, i: get()(s, i)

@@ -1,0 +1,66 @@
+"""Counts of a whole corpus in tables of a fixed size."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+CHUNK = 4096
+ROWS = "name string, kind int, chunk int, counts binary"
+
+
+class Tables:
+    """For each name `kinds` rows of `width` counts."""
+
+    def __init__(self, kinds: int, width: int) -> None:
+        self.kinds, self.width = kinds, width
+        self.of: dict[str, np.ndarray] = {}
+
+    def get(self, name: str) -> np.ndarray:
+        if name not in self.of:
+            self.of[name] = np.zeros((self.kinds, self.width), dtype=np.int64)
+        return self.of[name]
+
+    def rows(self) -> pd.DataFrame:
+        """A row for each CHUNK counts of which any isn't zero."""
+        out = []
+        for name, c in self.of.items():
+            for k in range(self.kinds):
+                for i in np.flatnonzero(c[k].reshape(-1, CHUNK).any(axis=1)).tolist():
+                    out.append((name, k, i, packed(c[k, i * CHUNK : (i + 1) * CHUNK])))
+        return pd.DataFrame(out, columns=["name", "kind", "chunk", "counts"])
+
+
+def packed(counts: np.ndarray) -> bytes:
+    at = np.flatnonzero(counts)
+    return len(at).to_bytes(4, "little") + at.astype("<u2").tobytes() + counts[at].astype("<i8").tobytes()
+
+
+def unpacked(data: bytes, out: np.ndarray) -> None:
+    """Adds packed counts to out."""
+    n = int.from_bytes(data[:4], "little")
+    out[np.frombuffer(data, "<u2", n, 4).astype(np.int64)] += np.frombuffer(data, "<i8", n, 4 + 2 * n)
+
+
+def _add_up(b: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(CHUNK, dtype=np.int64)
+    for x in b["counts"]:
+        unpacked(x, total)
+    return b.iloc[:1].assign(counts=[packed(total)])
+
+
+def gathered(df: DataFrame, kinds: int, width: int, count: Callable[[Iterator[pd.DataFrame], Tables], None]) -> dict[str, np.ndarray]:
+    """The tables that `count` fills from all partitions of df. Every task adds up its own before anything is shuffled; what comes to the driver has a fixed size, however large df is."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = Tables(kinds, width)
+        count(batches, t)
+        yield t.rows()
+
+    out = Tables(kinds, width)
+    for r in df.mapInPandas(run, ROWS).groupBy("name", "kind", "chunk").applyInPandas(_add_up, ROWS).toLocalIterator():
+        unpacked(bytes(r["counts"]), out.get(r["name"])[r["kind"], r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK])
+    return out.of

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..plans import Registry
 from ..runtime import cut
 from ..tables import load
+from .sketch import Tables, gathered
 
 query = Registry()
 
@@ -29,7 +30,6 @@ LABELLED = 20_000
 #: One in so many labelled documents calibrates and trains nothing.
 HELD_OUT = 5
 BUCKETS = 1 << 18
-CHUNK = 4096
 #: Interpolation: how many observations the lower model counts for, in the background (bigrams over unigrams), in a model's unigrams (over the background's) and in its bigrams (over the background's bigrams, mixed with its own unigrams by the share MIXED).
 OVER_UNIGRAMS, OVER_BACKGROUND, OVER_BIGRAMS, MIXED = 5.0, 500.0, 5.0, 0.5
 #: What is taken off each count of a subject's model, so that chance finds weigh nothing: so many standard deviations of a count.
@@ -93,44 +93,11 @@ class Coded:
         return (self.word & mask).astype(np.int64), (self.before & mask).astype(np.int64), (mixed & mask).astype(np.int64)
 
 
-class Counts:
-    """Bucket counts of a few classes; turned into rows of CHUNK buckets, of which only those with counts are kept."""
-
-    def __init__(self) -> None:
-        self.of: dict[str, np.ndarray] = {}
-
-    def add(self, name: str, coded: Coded) -> None:
-        if len(coded.word):
-            c = self.of.setdefault(name, np.zeros((3, BUCKETS), dtype=np.int64))
-            for row, b in zip(c, coded.buckets()):
-                row += np.bincount(b, minlength=BUCKETS)
-
-    def rows(self) -> pd.DataFrame:
-        out = [(n, k, i, c[k, i * CHUNK : (i + 1) * CHUNK].tobytes()) for n, c in self.of.items() for k in range(3) for i in range(BUCKETS // CHUNK) if c[k, i * CHUNK : (i + 1) * CHUNK].any()]
-        return pd.DataFrame(out, columns=["name", "kind", "chunk", "counts"])
-
-
-ROWS = "name string, kind int, chunk int, counts binary"
-
-
-def _add_up(b: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(CHUNK, dtype=np.int64)
-    for x in b["counts"]:
-        total += np.frombuffer(x, dtype=np.int64)
-    return b.iloc[:1].assign(counts=[total.tobytes()])
-
-
-def gathered(df: DataFrame, count: Callable[[Iterator[pd.DataFrame]], Counts]) -> dict[str, np.ndarray]:
-    """Counts of all partitions: every task adds up its own before anything is shuffled; the sum has a fixed size, however large df is."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield count(batches).rows()
-
-    out: dict[str, np.ndarray] = {}
-    for r in df.mapInPandas(run, ROWS).groupBy("name", "kind", "chunk").applyInPandas(_add_up, ROWS).toLocalIterator():
-        c = out.setdefault(r["name"], np.zeros((3, BUCKETS), dtype=np.int64))
-        c[r["kind"], r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
-    return out
+def add(tables: Tables, name: str, coded: Coded) -> None:
+    """Counts words, predecessors and bigrams under a name."""
+    if len(coded.word):
+        for row, b in zip(tables.get(name), coded.buckets()):
+            row += np.bincount(b, minlength=BUCKETS)
 
 
 def sure(counts: np.ndarray) -> np.ndarray:
@@ -201,43 +168,38 @@ def train(docs: DataFrame, labels: DataFrame, held_out_items: DataFrame | None =
     chosen = by_doc.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(bound)
     sample = cut(docs.where(F.length("text") > 0).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "subjects", (F.pmod("h", F.lit(HELD_OUT)) == 0).alias("calibrates")))  # `bound` rows at most
 
-    def all_text(batches: Iterator[pd.DataFrame]) -> Counts:
-        c = Counts()
+    def all_text(batches: Iterator[pd.DataFrame], c: Tables) -> None:
         for b in batches:
             held: list[list[str]] = []
             for k, t in enumerate(b["text"]):
                 held += sentences(t) if t else []
                 if len(held) > 20_000 or k == len(b) - 1:
-                    c.add("", Coded.of(held))
+                    add(c, "", Coded.of(held))
                     held = []
-        return c
 
-    def own_text(batches: Iterator[pd.DataFrame]) -> Counts:
-        c = Counts()
+    def own_text(batches: Iterator[pd.DataFrame], c: Tables) -> None:
         for b in batches:
             for s, t in ((s[0], t) for s, t in zip(b["subjects"], b["text"]) if len(s) == 1):
-                c.add(s, Coded.of(sentences(t)))
-        return c
+                add(c, s, Coded.of(sentences(t)))
 
     zero = np.zeros((3, BUCKETS), dtype=np.int64)
-    background = gathered(docs.where(F.length("text") > 0).select("text"), all_text).get("", zero)
+    background = gathered(docs.where(F.length("text") > 0).select("text"), 3, BUCKETS, all_text).get("", zero)
     trains = sample.where(~F.col("calibrates"))
-    models = gathered(trains.where(F.size("subjects") == 1).select("text", "subjects"), own_text)
+    models = gathered(trains.where(F.size("subjects") == 1).select("text", "subjects"), 3, BUCKETS, own_text)
     subjects = sorted(models)
     if held_out_items is not None:
-        models |= {"\x01leak": c for c in gathered(held_out_items.select("text"), all_text).values()}
+        models |= {"\x01leak": c for c in gathered(held_out_items.select("text"), 3, BUCKETS, all_text).values()}
     first = spark.sparkContext.broadcast(Models(background, models, subjects))
 
-    def remarks(batches: Iterator[pd.DataFrame]) -> Counts:
-        c, m = Counts(), first.value
+    def remarks(batches: Iterator[pd.DataFrame], c: Tables) -> None:
+        m = first.value
         for b in batches:
             for k, split, gains in _grouped(b, m):
                 own = set(b["subjects"].iloc[k])
                 foreign = [s for s, x in zip(split, m.speaking(gains, REMARK)) if x >= 0 and m.subjects[x] not in own]
-                c.add("\x02remark", Coded.of(foreign))
-        return c
+                add(c, "\x02remark", Coded.of(foreign))
 
-    models |= gathered(trains.select("text", "subjects"), remarks)
+    models |= gathered(trains.select("text", "subjects"), 3, BUCKETS, remarks)
     final = Models(background, models, subjects)
     sent = spark.sparkContext.broadcast(final)
 

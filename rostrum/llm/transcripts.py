@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans import Registry
 from ..tables import load
-from .peg import alt, find, later, many, opt, rx, seq, text_of, unless
+from .peg import alt, find, later, many, opt, rx, seq, text_of
 from .strings import unaccent, within
 
 query = Registry()
@@ -33,8 +33,8 @@ annotation = alt(
     rx(r"\*[^*\n]{1,60}\*|♪", "sound"),
 )
 space = rx(r"[ \t\xa0]*")
-clock = rx(r"\d{1,3}:[0-5]\d(?::[0-5]\d)?(?:[.,]\d{1,3})?(?!\d)", "clock")
-time = alt(seq(rx(r"[\[(<]"), space, clock, space, rx(r"[\])>]")), clock)
+clock = alt(rx(r"\d{1,3}:[0-5]\d(?::[0-5]\d)?(?:[.,]\d{1,3})?(?!\d)", "clock"), rx(r"T?\+?\d+(?:\.\d+)?\s?s(?:ec)?\b", "clock"))
+time = seq(alt(seq(rx(r"[\[(<]"), space, clock, space, rx(r"[\])>]")), clock), opt(rx(r"[ \t]*\|")))
 arrow = seq(clock, space, rx(r"-->"), space, rx(r"[\d:.,]+"), space, name="cue")
 title = rx(rf"{TITLES}\b\.?[ \xa0]+", "title", re.IGNORECASE)
 office = rx(rf"(?:(?:The|Madam|Mr\.?)[ \xa0]+)?{OFFICES}(?![\w'’-])", "office", re.IGNORECASE)
@@ -43,11 +43,11 @@ name = seq(word, many(seq(rx(r"[ \xa0]+"), word)), name="name")
 place = rx(r"\((?![^()]*\d:\d)[^()\n]{2,80}\)|\[[A-Z]{2,4}\]", "place")
 tail = many(seq(space, alt(place, rx(r"\(spoke in [^()]*\)", flags=re.IGNORECASE))), name="tail")
 label = seq(alt(office, seq(opt(title), name)), tail, opt(seq(space, time, name="at")), name="label")
-mark = alt(rx(r"[ \xa0]*[:;](?=\s|$)"), rx(r"[ \xa0]+[-–—](?=\s|$)"), rx(r"\.[-–—](?=\s|$)"))
+mark = alt(rx(r"[ \xa0]*[:;](?=\s|$)"), rx(r"[ \t]*\|(?=\s|$)"), rx(r"[ \xa0]+[-–—](?=\s|$)"), rx(r"\.[-–—](?=\s|$)"))
 sounds = many(seq(space, annotation, space))
 end = rx(r"[ \t\xa0]*$")
 # A line: a cue or time, a label with its mark, and what is said. A label without mark must fill its line.
-head = seq(opt(alt(arrow, seq(unless(label), time, space))), sounds, opt(seq(label, mark, space, name="speaker")), name="head")
+head = seq(opt(alt(arrow, seq(time, space))), sounds, opt(seq(label, mark, space, name="speaker")), name="head")
 alone = seq(label, end, name="alone")
 time_alone = seq(alt(arrow, time), end, name="time")
 number_alone = rx(r"\d{1,6}[ \t]*$", "number")
@@ -55,13 +55,13 @@ number_alone = rx(r"\d{1,6}[ \t]*$", "number")
 inline = seq(alt(office, seq(title, name, tail)), tail, rx(r"[ \xa0]*:(?=\s)"), name="speaker")
 INLINE_AT = re.compile(rf"(?:^|(?<=[.!?»\"\])}}>*♪…—,])|(?<=[.!?]\s))\s*(?=(?:{TITLES}\b|(?:The[ \xa0]+)?{OFFICES}\b)[^:\n]{{0,120}}:\s)", re.IGNORECASE)
 
-SOME_LABEL = re.compile(rf"\b(?:{TITLES}\b|{OFFICES}\b)|\d:\d\d|^[^\s:;]+(?: [^\s:;]+){{0,4}}(?:[:;]| [-–—]) ", re.IGNORECASE | re.MULTILINE)
+SOME_LABEL = re.compile(rf"\b(?:{TITLES}\b|{OFFICES}\b)|\d:\d\d|\d\s?s?\s?\||^[^\s:;]+(?: [^\s:;]+){{0,4}}(?:[:;]| [-–—]) ", re.IGNORECASE | re.MULTILINE)
 FILLER = re.compile(rf"(?<![\w'])(?:{FILLERS})(?![\w'])[ \t]*", re.IGNORECASE)
 TWICE = re.compile(r"\b(\w+)(?:\s+\1\b)+", re.IGNORECASE)
 
 
 def seconds(clock_text: str) -> float:
-    parts = clock_text.replace(",", ".").split(":")
+    parts = clock_text.replace(",", ".").strip("T+sec ").split(":")
     return sum(float(p) * 60**k for k, p in enumerate(reversed(parts)))
 
 
@@ -323,7 +323,7 @@ def speaker_turns(speeches: DataFrame, key: str = "id", text: str = "text", name
             out = [(i, k, no, s, w) for i, t, n, r in b.itertuples(index=False, name=None) for k, (no, s, w) in enumerate(turns(t, n, r), 1)]
             yield pd.DataFrame(out, columns=["speech_id", "turn_no", "speaker_no", "speaker", "words"])
 
-    return rows.where(F.col("text").rlike(r"[:;]|\s[-–—]\s")).mapInPandas(run, f"speech_id {kind}, turn_no int, speaker_no int, speaker string, words string")
+    return rows.where(F.col("text").rlike(r"[:;|]|\s[-–—]\s|\d:\d\d")).mapInPandas(run, f"speech_id {kind}, turn_no int, speaker_no int, speaker string, words string")
 
 
 def _turns(spark: SparkSession, sf: str) -> DataFrame:

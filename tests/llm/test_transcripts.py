@@ -25,6 +25,7 @@ def test_cleaning():
         ("[00:10] Baro: One.\n[00:30] Mrs Rado [LEM]: Three.\n[00:20] Two, still Baro.\n[00:40] Bar0: Four.", [1, 2, 1]),
         ("1\n00:00:10.000 --> 00:00:12.000\nMs. RADO (Lemira): One.\n\n2\n00:00:20.000 --> 00:00:21.000\nThe Chair: Two.", [1, 2]),
         ("Mr. Baro\n10:05\nOne.\n\nAnna Rado\n10:10\nTwo.\n\nRado\n10:20\nThree. Article 12: no change.", [1, 2]),
+        ("T+20s | Mr. BARO (Lemira) | One.\nT+40s | Baro | Three.\nT+30s | The President | Two.\nStill two.", [1, 2, 1]),
         ("Baro (10:20): Two.\nMrs. RADO (Lemira) (10:10): One.\nBaro (10:30): Three.", [1, 2]),
         ("Mr. Baro (Lemira): One. Mrs. Rado (Sonuru): Two; three. President: Four. I have one point: the budget.", [1, 2, 3]),
         ("I have one point: the budget. Article 12: no change is needed.", []),
