@@ -15,6 +15,6 @@ def registry():
 
 
 def _modules():
-    from . import encode, leaks, lists, names, noise, subjects, survivors, transcripts
+    from . import encode, leaks, lists, matching, names, noise, subjects, survivors, transcripts
 
-    return (encode, leaks, lists, names, noise, subjects, survivors, transcripts)
+    return (encode, leaks, lists, matching, names, noise, subjects, survivors, transcripts)
