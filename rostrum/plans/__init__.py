@@ -28,10 +28,10 @@ class Registry:
 
 def core() -> Registry:
     """All queries outside the optional subpackage."""
-    from . import orphans
+    from . import orphans, relational
 
     out = Registry()
-    for module in (orphans,):
+    for module in (orphans, relational):
         out.queries |= module.query.queries
         out.sql |= module.query.sql
     return out
