@@ -28,10 +28,10 @@ class Registry:
 
 def core() -> Registry:
     """All queries outside the optional subpackage."""
-    from . import orphans, relational
+    from . import orphans, relational, sequences, writes
 
     out = Registry()
-    for module in (orphans, relational):
+    for module in (orphans, relational, sequences, writes):
         out.queries |= module.query.queries
         out.sql |= module.query.sql
     return out

@@ -307,8 +307,8 @@ def degree(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "pagerank_fixed",
-    f"""with recursive {_EDGES}, both as (select yr, a as u, b as v, weight from edges union all select yr, b, a, weight from edges), share as (select yr, u, v, weight / sum(weight) over (partition by yr, u) as p from both),
-  nodes as (select yr, u as node, count(*) over (partition by yr) as n from (select distinct yr, u from both)),
+    f"""with recursive {_EDGES}, twice as (select yr, a as u, b as v, weight from edges union all select yr, b, a, weight from edges), share as (select yr, u, v, weight / sum(weight) over (partition by yr, u) as p from twice),
+  nodes as (select yr, u as node, count(*) over (partition by yr) as n from (select distinct yr, u from twice)),
   r as (select 0 as k, yr, node, n, 1.0e0 / n as rank from nodes union all
     select k + 1, yr, node, n, 0.15e0 / n + 0.85e0 * flow from (select r.k, s.yr, s.v as node, r.n, sum(s.p * r.rank) as flow from r join share s on s.yr = r.yr and s.u = r.node where r.k < 20 group by r.k, s.yr, s.v, r.n))
   select yr, node, round(rank, 9) as rank from r where k = 20""",
