@@ -28,10 +28,10 @@ class Registry:
 
 def core() -> Registry:
     """All queries outside the optional subpackage."""
-    from . import orphans, relational, sequences, writes
+    from . import orphans, records, relational, sequences, texts, writes
 
     out = Registry()
-    for module in (orphans, relational, sequences, writes):
+    for module in (orphans, records, relational, sequences, texts, writes):
         out.queries |= module.query.queries
         out.sql |= module.query.sql
     return out
