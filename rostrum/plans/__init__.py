@@ -28,10 +28,10 @@ class Registry:
 
 def core() -> Registry:
     """All queries outside the optional subpackage."""
-    from . import orphans, records, relational, sequences, texts, writes
+    from . import models, orphans, records, relational, sequences, streams, texts, writes
 
     out = Registry()
-    for module in (orphans, records, relational, sequences, texts, writes):
+    for module in (models, orphans, records, relational, sequences, streams, texts, writes):
         out.queries |= module.query.queries
         out.sql |= module.query.sql
     return out

@@ -110,7 +110,7 @@ def drafts(spark: SparkSession, folder: str) -> DataFrame:
 
 def triples(spark: SparkSession, path: str) -> DataFrame:
     """Subject, predicate, object of a thesaurus in Turtle that lists one predicate a line: subjects begin a line, the rest is indented; statements end with `;` or `.`, several objects stand between commas."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     statements = raw.select(F.explode(F.split("value", r"(?m)\s*\.\s*$")).alias("s")).where(~F.trim("s").startswith("@") & (F.trim("s") != ""))
     parts = statements.select(F.regexp_extract("s", r"(?s)^\s*(\S+)", 1).alias("subject"), F.explode(F.split(F.regexp_replace("s", r"(?s)^\s*\S+\s+", ""), r";\s*")).alias("po"))
     pairs = parts.where(F.trim("po") != "").select("subject", F.regexp_extract(F.trim("po"), r"^(\S+)", 1).alias("predicate"), F.explode(F.split(F.regexp_replace(F.trim("po"), r"^\S+\s+", ""), r"\s*,\s+(?=[<\"\w])")).alias("object"))
