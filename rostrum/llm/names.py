@@ -190,10 +190,10 @@ def segment_join(left: DataFrame, right: DataFrame, block: str, text: str, edits
 
 def roots(parents: DataFrame) -> DataFrame:
     """node, root: follows parents(node, parent) to the end; nodes without parent are their own. Pointers double in each round, and each round is written to the shared folder."""
-    state = cut(parents.select("node", F.col("parent").alias("root")))
+    state = parents.select("node", F.col("parent").alias("root"))
     while True:
         up = state.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        step = cut(state.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"), (F.col("next").isNotNull() & (F.col("next") != F.col("root"))).alias("moved")))
+        step = cut(state.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         state = step.select("node", "root")
         if step.where("moved").isEmpty():
             return state
@@ -236,23 +236,20 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
     asks = cut(meant.unionByName(bare))
     borne = whole.select(F.col("surname").alias("spelt"), F.col("given").alias("g"), F.substring("middle", 1, 1).alias("m"), "person")
 
-    def settle(asked: DataFrame) -> DataFrame:
-        """asked(given, middle, surname, means, spelt, d) with the only person that fits at the least distance."""
-        fits = asked.join(borne, "spelt").where(F.col("g").startswith(F.col("means")) & ((F.length("means") <= 1) | (F.col("g") == F.col("means"))))
-        fits = fits.where((F.col("middle") == "") | (F.col("m") == "") | (F.col("m") == F.substring("middle", 1, 1)))
-        least = fits.groupBy("given", "middle", "surname").agg(F.min("d").alias("d"))
-        return fits.join(least, ["given", "middle", "surname", "d"]).groupBy("given", "middle", "surname").agg(F.min("person").alias("person"), F.countDistinct("person").alias("persons"))
-
-    exact = cut(settle(asks.withColumn("spelt", F.col("surname")).withColumn("d", F.lit(0))))
-    rest = cut(asks.join(exact, ["given", "middle", "surname"], "left_anti"))
-    spelt = segment_join(rest.withColumn("block", F.lit("")), whole.withColumn("block", F.lit("")), "block", "surname", edits, SHORT_ALONE).select(F.col("a").alias("surname"), F.col("b").alias("spelt"), "d")
-    guessed = settle(rest.join(spelt, "surname"))
-    settled = cut(exact.unionByName(guessed).where(F.col("persons") == 1).select("given", "middle", "surname", "person"))
+    spelt = segment_join(asks.withColumn("block", F.lit("")), whole.withColumn("block", F.lit("")), "block", "surname", edits, SHORT_ALONE).select(F.col("a").alias("surname"), F.col("b").alias("spelt"), "d")
+    same = asks.select("surname").distinct().select("surname", F.col("surname").alias("spelt"), F.lit(0).alias("d"))
+    fits = asks.join(same.unionByName(spelt), "surname").join(borne, "spelt").where(F.col("g").startswith(F.col("means")) & ((F.length("means") <= 1) | (F.col("g") == F.col("means"))))
+    fits = fits.where((F.col("middle") == "") | (F.col("m") == "") | (F.col("m") == F.substring("middle", 1, 1)))
+    # one person only at the least distance: the first and the last of its hashes are the same
+    least = lambda sign: F.min(F.struct("d", (sign * (F.xxhash64("person") % (1 << 62))).alias("h"), "person"))
+    found = fits.groupBy("given", "middle", "surname").agg(least(1).alias("lo"), least(-1).alias("hi"))
+    found = cut(found.select("given", "middle", "surname", F.col("lo.person").alias("person"), (F.col("lo.person") == F.col("hi.person")).alias("only")))
+    settled = found.where("only").drop("only")
     # short forms that no full name explains: equal ones are one person's
-    free = asks.where(F.col("means") != "").select("given", "middle", "surname").distinct().join(exact.unionByName(guessed), ["given", "middle", "surname"], "left_anti")
+    free = asks.where(F.col("means") != "").select("given", "middle", "surname").distinct().join(found, ["given", "middle", "surname"], "left_anti")
     alone = free.select("given", "middle", "surname", F.concat_ws("|", F.lit("~"), "given", "surname").alias("person"))
     by_short = settled.unionByName(alone)
-    lone_bare = bare.drop("means").join(exact.unionByName(guessed), ["given", "middle", "surname"], "left_anti").select("surname")
+    lone_bare = bare.drop("means").join(found, ["given", "middle", "surname"], "left_anti").select("surname")
     of_lone = alone.join(lone_bare, "surname", "left_semi").groupBy("surname").agg(F.min("person").alias("person"), F.countDistinct("person").alias("persons")).where(F.col("persons") == 1)
     by_bare = of_lone.select(F.lit("").alias("given"), F.lit("").alias("middle"), "surname", "person")
     keyed = whole.select("given", "surname", "person")
