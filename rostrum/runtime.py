@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +24,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: After so many cuts the driver's garbage is collected.
+RELEASE_EVERY = 4
+_cuts = itertools.count(1)
+
+
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage. Spark deletes shuffle files, checkpoints and broadcasts of finished steps only when the driver's collector finds them dead, which in a long chain of small steps would be late."""
+    gc.collect()
+    if (jvm := getattr(spark, "_jvm", None)) is not None:
+        jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it from there: later steps neither run it again nor carry its plan, and lost executors take nothing with them."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if next(_cuts) % RELEASE_EVERY == 0:
+        release(df.sparkSession)
+    return out
+
+
+def held(df: DataFrame) -> DataFrame:
+    """cut(df), which joins by sorting: for tables that grow with the data and are joined many times, where a broadcast of each would pile up in the driver's memory."""
+    return cut(df).hint("merge")
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
