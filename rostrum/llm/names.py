@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import Registry
-from ..runtime import cut
+from ..runtime import held
 from ..tables import load
 from .strings import unaccent, within
 
@@ -193,7 +193,7 @@ def roots(parents: DataFrame) -> DataFrame:
     state = parents.select("node", F.col("parent").alias("root"))
     while True:
         up = state.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        step = cut(state.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        step = held(state.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         state = step.select("node", "root")
         if step.where("moved").isEmpty():
             return state
@@ -204,7 +204,7 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
 
     Full names with one given name (as the corpus' given names are spelt) and surnames within `edits` are spellings of each other: each attaches to the nearest one that more records bear, unless it comes in several forms itself (a misspelling is written once, a person's own name in many ways). Initials and nicknames with a surname, and surnames alone, attach to a person only if exactly one may bear them, by the surname as it is spelt somewhere, or else by the nearest within `edits`. Names that only give an office, null and empty names get none. A misspelling with a middle name attaches only to a name with the same; a short form with a middle initial may lack it in the person's name.
     """
-    distinct = cut(names.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("n").alias("n")))
+    distinct = held(names.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("n").alias("n")))
     given, middle = lexicons(distinct, share)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,10 +212,10 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
             rows = [(*p, n) for x, n in zip(b["name"], b["n"]) if (p := parse_name(x, given, middle)) is not None]
             yield pd.DataFrame(rows, columns=["name", "kind", "given", "middle", "surname", "n"])
 
-    parsed = cut(distinct.mapInPandas(run, "name string, kind string, given string, middle string, surname string, n long"))
+    parsed = held(distinct.mapInPandas(run, "name string, kind string, given string, middle string, surname string, n long"))
     full = parsed.where(F.col("kind") == "full")
     plain = F.trim(F.regexp_replace(F.regexp_replace("name", r"(?i)\b(?:h\.\s?e|amb|mr|mrs|ms|dr)\.", " "), r"[\s\x{a0}]+", " "))
-    nodes = cut(full.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max("middle").alias("middle"), F.countDistinct(plain).alias("forms")))
+    nodes = held(full.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max("middle").alias("middle"), F.countDistinct(plain).alias("forms")))
     near = segment_join(nodes, nodes, "given", "surname", edits)
     a, b = (nodes.select(F.col("given").alias("block"), F.col("surname").alias(x), F.col("n").alias(f"n{x}"), F.col("forms").alias(f"f{x}"), F.substring("middle", 1, 1).alias(f"m{x}")) for x in "ab")
     pairs = near.join(a, ["block", "a"]).join(b, ["block", "b"])
@@ -225,7 +225,7 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
     person = lambda g, s: F.concat_ws("|", g, s)
     up = best.select(person(F.col("block"), F.col("a")).alias("node"), person(F.col("block"), F.col("x.b")).alias("parent"))
     own = nodes.select(person(F.col("given"), F.col("surname")).alias("node"), "given", "surname", "middle")
-    whole = cut(own.join(roots(up), "node", "left").select("given", "surname", "middle", F.coalesce("root", "node").alias("person")))
+    whole = held(own.join(roots(up), "node", "left").select("given", "surname", "middle", F.coalesce("root", "node").alias("person")))
 
     # short forms: what may be borne, by surname
     nick = names.sparkSession.createDataFrame([(k, g) for k, v in NICKNAMES.items() for g in v], "given string, means string")
@@ -233,7 +233,7 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
     with_nick = shorts.where(F.length("given") > 1).join(F.broadcast(nick), "given").select("given", "middle", "surname", "means")
     meant = shorts.where(F.length("given") == 1).withColumn("means", F.col("given")).unionByName(with_nick)
     bare = parsed.where(F.col("kind") == "bare").select("given", "middle", "surname").distinct().withColumn("means", F.lit(""))
-    asks = cut(meant.unionByName(bare))
+    asks = held(meant.unionByName(bare))
     borne = whole.select(F.col("surname").alias("spelt"), F.col("given").alias("g"), F.substring("middle", 1, 1).alias("m"), "person")
 
     spelt = segment_join(asks.withColumn("block", F.lit("")), whole.withColumn("block", F.lit("")), "block", "surname", edits, SHORT_ALONE).select(F.col("a").alias("surname"), F.col("b").alias("spelt"), "d")
@@ -243,7 +243,7 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> Da
     # one person only at the least distance: the first and the last of its hashes are the same
     least = lambda sign: F.min(F.struct("d", (sign * (F.xxhash64("person") % (1 << 62))).alias("h"), "person"))
     found = fits.groupBy("given", "middle", "surname").agg(least(1).alias("lo"), least(-1).alias("hi"))
-    found = cut(found.select("given", "middle", "surname", F.col("lo.person").alias("person"), (F.col("lo.person") == F.col("hi.person")).alias("only")))
+    found = held(found.select("given", "middle", "surname", F.col("lo.person").alias("person"), (F.col("lo.person") == F.col("hi.person")).alias("only")))
     settled = found.where("only").drop("only")
     # short forms that no full name explains: equal ones are one person's
     free = asks.where(F.col("means") != "").select("given", "middle", "surname").distinct().join(found, ["given", "middle", "surname"], "left_anti")
@@ -273,7 +273,7 @@ def all_names(spark: SparkSession, sf: str) -> DataFrame:
 @query("p2_found")
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """All pairs of different strings that mean one person."""
-    linked = cut(link_names(all_names(spark, sf)))
+    linked = held(link_names(all_names(spark, sf)))
     a, b = linked.select(F.col("name").alias("name_a"), "person"), linked.select(F.col("name").alias("name_b"), "person")
     return a.join(b, "person").where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b")
 
@@ -281,5 +281,5 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 @query("p2_persons")
 def p2_persons(spark: SparkSession, sf: str) -> DataFrame:
     """Each name with its person, and how many spellings this has."""
-    linked = cut(link_names(all_names(spark, sf)))
+    linked = held(link_names(all_names(spark, sf)))
     return linked.join(linked.groupBy("person").agg(F.count("*").alias("spellings")), "person")
