@@ -38,6 +38,7 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
         self.core = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(PATTERN)
+        self.blank = regex.compile(r"(?r)\s*")  # backwards: the whitespace before a place
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.piece_bytes = piece_bytes
 
@@ -80,7 +81,13 @@ class Encoder:
         start = done = 0
         for m in self.split.finditer(text):
             if m.end() - m.start() > self.piece_bytes // 4:
-                ids += self.core.encode_ordinary(text[done : m.start()]) if done < m.start() else []
+                # the pattern looks at what follows whitespace, so whitespace before the long piece keeps its pieces from the whole text
+                solid = self.blank.match(text, done, m.start()).start()
+                ids += self.core.encode_ordinary(text[done:solid]) if done < solid else []
+                for s in self.split.finditer(text, solid):
+                    if s.start() == m.start():
+                        break
+                    ids += self.tree(s[0].encode("utf-8", "replace"))
                 ids += self.tree(m[0].encode("utf-8", "replace"))
                 done = m.end()
             start = m.end()

@@ -42,3 +42,12 @@ def test_frame_of_any_texts(spark):
     got = sorted((r["doc_id"], list(r["ids"])) for r in encode_texts(df, "doc_id", "text", leaf_chars=97).collect())
     assert got == sorted((i, expected(x) if x else []) for i, x, _ in rows)
     assert encode_texts(df.where("false"), "doc_id", "text").count() == 0
+
+
+def test_whitespace_before_a_long_piece():
+    expected, e = reference(), Encoder(f"{TOKENIZERS}/{VOCABULARY}")
+    for gap in ("\n\n", " \n", "\n\n\n", "\r\n\t", " \u00a0", "\n \n ", "\n" * 300):
+        for long in ("ab" * 100, "日" * 200, "-" * 200, "=" * 129, "7" * 300):
+            text = f"Text.{gap}{long}{gap}{long}{gap}"
+            assert e.encode(text) == e.leaf(text)[0] == expected(text)
+    assert e.encode("Text.\n\n" + "ab" * 100)[:5] == [8206, 13, 198, 198, 397]
