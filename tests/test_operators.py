@@ -182,6 +182,28 @@ def test_ideal_points_find_the_order(spark):
     assert ideal_points(df.where("false")).count() == 0
 
 
+def test_bayesian_points_link_the_years(spark):
+    r = random.Random(5)
+    place = {c: -1.5 + 3 * c / 11 for c in range(12)}
+    cast = [(yr, c, v, "yes" if place[c] * (1 if v % 2 else -1) + r.gauss(0, 0.4) > r.uniform(-1, 1) * 0.6 else "no") for yr in (2000, 2001) for v in range(120) for c in place]
+    sparse = [x for x in cast if x[:2] != (2001, 11) or x[2] == 0]  # one ballot of the last member in the second year
+    found = bayesian_points(spark.createDataFrame(sparse, "yr int, country_id int, vote_id int, vote_position string"), rounds=200, burn=100, thin=2).collect()
+    x = {(p.yr, p.country_id): p.ideal_point for p in found}
+    assert len(x) == 24 and x[2000, 11] > 1
+    assert abs(x[2001, 11] - x[2000, 11]) < 0.3
+
+
+def test_bayesian_points_runs_the_reference_sweeps(spark, monkeypatch):
+    from rostrum.plans import models
+
+    monkeypatch.setattr(models, "ballots", lambda spark, sf: spark.createDataFrame([(2000, 1, 1, "yes")], "yr int, country_id int, vote_id int, vote_position string"))
+    real, seen = models.models.bayesian_points, {}
+    defaults = dict(zip(real.__code__.co_varnames[1:], real.__defaults__))
+    monkeypatch.setattr(models.models, "bayesian_points", lambda votes, **k: seen.update(defaults | k) or real(votes, **k))
+    models.bayesian_points(spark, "")
+    assert (seen["rounds"], seen["burn"], seen["thin"]) == (5000, 1000, 10)
+
+
 def test_vote_scores(spark):
     r = random.Random(4)
     data = []
