@@ -215,6 +215,27 @@ def test_vote_scores(spark):
     assert sum(p.predicted == p.vote for p in s if p.x is not None) / sum(p.x is not None for p in s) > 0.9
 
 
+def test_topics_pass_over_all_texts(spark, monkeypatch):
+    from pyspark.ml import clustering
+
+    from rostrum.plans import models
+
+    asked = {}
+
+    def stop(**k):
+        asked.update(k)
+        raise StopIteration
+
+    monkeypatch.setattr(clustering, "LDA", stop)
+    r = random.Random(6)
+    docs = spark.createDataFrame([(i, "en", " ".join("".join(r.choice("xyzwv") for _ in range(3)) for _ in range(40))) for i in range(1100)], "doc_id long, lang string, text string")
+    monkeypatch.setattr(models, "load", lambda spark, sf, table, *columns: docs)
+    with pytest.raises(StopIteration):
+        models.speech_topics(spark, "")
+    assert asked["k"] == 50
+    assert asked["maxIter"] == 20 * 3 and asked["subsamplingRate"] == 1 / 3  # 20 passes in batches of 512 at most
+
+
 def test_archives_and_tables(spark, tmp_path):
     from rostrum.sources import files
 
