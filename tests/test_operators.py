@@ -215,6 +215,31 @@ def test_vote_scores(spark):
     assert sum(p.predicted == p.vote for p in s if p.x is not None) / sum(p.x is not None for p in s) > 0.9
 
 
+def test_vote_anomalies_trains_in_full(spark, monkeypatch):
+    from pyspark.ml import classification
+
+    from rostrum.plans import models
+
+    asked = {}
+
+    def stop(**k):
+        asked.update(k)
+        raise StopIteration
+
+    monkeypatch.setattr(classification, "GBTClassifier", stop)
+    read = {"part": "p_partkey int, p_type string", "lineitem": "l_partkey int, l_suppkey int, l_shipdate date", "supplier": "s_suppkey int, s_nationkey int"}
+    data = {"part": [(1, "SMALL")], "lineitem": [(1, 7, date(2000, 1, 1)), (1, 8, date(2000, 1, 2)), (1, 9, date(2001, 1, 1))], "supplier": [(7, 1), (8, 4), (9, 3)]}
+    monkeypatch.setattr(models, "load", lambda spark, sf, table, *columns: spark.createDataFrame(data[table], read[table]))
+    monkeypatch.setattr(models, "ballots", lambda spark, sf: spark.createDataFrame([(1, 1, 2000, "yes"), (2, 1, 2000, "no"), (1, 2, 2000, "no")], "country_id int, vote_id int, yr int, vote_position string"))
+    with pytest.raises(StopIteration):
+        models.vote_anomalies(spark, "")
+    assert (asked["maxIter"], asked["maxDepth"]) == (200, 6)
+    got = {(r.country_id, r.vote_id): r for r in models.vote_rows(spark, "").collect()}
+    assert len(got) == 3 and len(models.VOTE_FEATURES) == 12
+    assert (got[1, 1].n_sponsors, got[1, 1].us_sponsored, got[1, 1].cn_sponsored, got[1, 1].issue_di, got[1, 1].issue_me) == (2, True, False, True, False)
+    assert (got[1, 2].n_sponsors, got[1, 2].us_sponsored, got[1, 2].issue_di) == (0, False, None)
+
+
 def test_topics_pass_over_all_texts(spark, monkeypatch):
     from pyspark.ml import clustering
 
