@@ -4,38 +4,31 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans import Registry
-from ..runtime import held
+from ..runtime import cut, held
 from ..tables import load
 from .strings import unaccent, within
 
 query = Registry()
 
-#: Edits that two spellings of a surname may differ by; names are cut into one segment more.
+#: Edits that two spellings of a surname may differ by; an exchange of neighbours is one.
 EDITS = 2
-#: Surnames under this length may differ by one edit only: with a known given name, and with an initial or nothing.
-SHORT, SHORT_ALONE = 7, 8
+#: Surnames under LEAST_LETTERS must agree, those under SHORT may differ by one edit only; under SHORT_ALONE where no given name but an initial or nothing stands with them.
+LEAST_LETTERS, SHORT, SHORT_ALONE = 4, 7, 8
 #: A word is a given name, or a middle name, if it stands in that place in this share of the distinct names; so there are at most 1 / SHARE of them.
 SHARE = 1 / 400
+#: What makes a first word a short form of a given name: under so large a share of the surnames that bear it, and one other first word at most, the other word is the given name, under two such surnames at least and this share of all names.
+COVER, SHORT_FORM_SHARE = 0.5, 1 / 50_000
 
-# Titles, name particles, offices and their fillers, and short forms of given names.
+# Titles, name particles, offices and their fillers.
 TITLES = frozenset(("mr", "mrs", "ms", "miss", "dr", "sir", "dame", "prof", "he", "h.e", "madam", "mme", "amb", "ambassador"))
 PARTICLES = frozenset(("van", "von", "de", "da", "di", "del", "der", "den", "la", "le", "el", "al", "bin", "ibn"))
 OFFICE = frozenset(("the", "acting", "vice", "deputy", "president", "chair", "chairman", "chairperson", "secretary", "general", "secretary-general", "vice-president", "rapporteur", "speaker", "moderator", "observer", "representative"))
-NICKNAMES = {
-    "alex": ("alexander",), "sasha": ("alexander",), "mina": ("amina", "wilhelmina"), "ben": ("benjamin",), "benny": ("benjamin",), "lina": ("catalina",), "cata": ("catalina",), "charlie": ("charles",), "chuck": ("charles",),
-    "dima": ("dmitri",), "mitya": ("dmitri",), "ed": ("edward",), "eddie": ("edward",), "ned": ("edward",), "ted": ("edward",), "beth": ("elizabeth",), "betty": ("elizabeth",), "liz": ("elizabeth",), "lisa": ("elizabeth",), "manny": ("emmanuel",), "fatou": ("fatoumata",),
-    "paco": ("francisco",), "pancho": ("francisco",), "frank": ("francisco",), "yorgos": ("georgios",), "george": ("georgios",), "hiro": ("hiroshi",), "hans": ("johannes",), "jan": ("johannes",), "joe": ("jose", "youssef"), "pepe": ("jose",), "kate": ("katherine",), "kathy": ("katherine",), "katie": ("katherine",),
-    "leo": ("leopold",), "meg": ("margaret",), "maggie": ("margaret",), "peggy": ("margaret",), "mo": ("mohammed",), "kolya": ("nikolai",), "nick": ("nikolai",), "seun": ("oluwaseun",), "pat": ("patricia", "padraig"), "trish": ("patricia",), "patsy": ("patricia",), "paddy": ("padraig",),
-    "dick": ("richard",), "rick": ("richard",), "rich": ("richard",), "bob": ("robert",), "rob": ("robert",), "bobby": ("robert",), "sam": ("samuel",), "sue": ("susannah",), "susie": ("susannah",), "dora": ("theodora",), "thea": ("theodora",), "tomek": ("tomasz",), "tom": ("tomasz",), "vasya": ("vasily",),
-    "vicky": ("victoria",), "vic": ("victoria",), "bill": ("william",), "will": ("william",), "billy": ("william",), "willa": ("wilhelmina",), "minnie": ("wilhelmina",),
-}
 
 
 def name_tokens(name: str) -> tuple[list[str], list[bool], int]:
@@ -58,15 +51,20 @@ def name_tokens(name: str) -> tuple[list[str], list[bool], int]:
     return words, upper, comma
 
 
+def begun(word: str, given: frozenset[str]) -> list[str]:
+    """The given names that a word of two to five letters begins, and that are longer by two letters or more: an abbreviation."""
+    return sorted(g for g in given if g.startswith(word) and len(g) >= len(word) + 2) if 2 <= len(word) <= 5 else []
+
+
 def is_office(words: list[str]) -> bool:
     return not words or all(w.strip(".") in OFFICE for w in words)
 
 
-def known(word: str, among: frozenset[str]) -> str | None:
-    """The given name that a word is, or nearly is."""
+def known(word: str, among: frozenset[str], nick: frozenset[str] = frozenset()) -> str | None:
+    """The given name that a word is, or nearly is; short forms (nick) are none."""
     if word in among:
         return word
-    if len(word) < 4 or word in NICKNAMES:
+    if len(word) < 4 or word in nick:
         return None
     for k in (1, 2):
         if k == 2 and len(word) < 6:
@@ -77,11 +75,15 @@ def known(word: str, among: frozenset[str]) -> str | None:
     return None
 
 
-#: name, kind, given, middle, surname; kind is `full` (given and surname), `short` (initial or nickname, and surname) or `bare` (surname).
+def joined_surname(words: list[str]) -> str:
+    return "".join(w.strip(".'").replace("'", "").replace("-", "") for w in words)
+
+
+#: name, kind, given, middle, surname; kind is `full` (given and surname), `short` (initial or short form, and surname) or `bare` (surname).
 Parsed = tuple[str, str, str, str, str]
 
 
-def parse_name(name: str, given: frozenset[str], middle: frozenset[str]) -> Parsed | None:
+def parse_name(name: str, given: frozenset[str], middle: frozenset[str], nick: frozenset[str] = frozenset()) -> Parsed | None:
     words, upper, comma = name_tokens(name)
     if is_office(words):
         return None
@@ -95,11 +97,11 @@ def parse_name(name: str, given: frozenset[str], middle: frozenset[str]) -> Pars
     else:
         head = words[0]
         n = 0
-        if len(words) > 1 and (known(head, given) or head in NICKNAMES or re.fullmatch(r"[a-z]\.?", head)):
+        if len(words) > 1 and (known(head, given, nick) or head in nick or begun(head.strip(".'"), given) or re.fullmatch(r"[a-z]\.?", head)):
             n = 1
         elif len(words) > 1 and not all(upper) and words[-1] in given:
-            return parse_name(f"{' '.join(words[:-1])}, {words[-1]}", given, middle)
-        elif len(words) > 2 and known(words[0] + words[1], given):  # a given name torn apart
+            return parse_name(f"{' '.join(words[:-1])}, {words[-1]}", given, middle, nick)
+        elif len(words) > 2 and known(words[0] + words[1], given, nick):  # a given name torn apart
             words = [words[0] + words[1], *words[2:]]
             n = 1
         while n and n < len(words) - 1 and (words[n] in middle or re.fullmatch(r"[a-z]\.", words[n])):
@@ -107,29 +109,30 @@ def parse_name(name: str, given: frozenset[str], middle: frozenset[str]) -> Pars
         first, last = words[:n], words[n:]
     if first and not last:
         first, last = [], first
-    surname = "".join(w.strip(".'").replace("'", "").replace("-", "") for w in last)
+    surname = joined_surname(last)
     if not surname:
         return None
-    if len(first) > 1 and not known(first[0], given) and (joined := known("".join(first[:2]), given)):
+    if len(first) > 1 and not known(first[0], given, nick) and (joined := known("".join(first[:2]), given, nick)):
         first = [joined, *first[2:]]
     if not first:
         return name, "bare", "", "", surname
     head = first[0].strip(".'")
     mid = next((w.strip(".") for w in first[1:] if w.strip(".")), "")
-    if (g := known(head, given)) is not None:
+    if (g := known(head, given, nick)) is not None:
         return name, "full", g, mid, surname
-    if head in NICKNAMES or len(head) == 1:
+    if head in nick or len(head) == 1 or begun(head, given):
         return name, "short", head, mid, surname
     return name, "full", head, mid, surname
 
 
-def lexicons(names: DataFrame, share: float) -> tuple[frozenset[str], frozenset[str]]:
-    """Given and middle names: words that are first, or second of three or more, in at least `share` of the distinct names. At most 1 / share of each come to the driver."""
+def lexicons(names: DataFrame, share: float) -> tuple[frozenset[str], frozenset[str], int]:
+    """Given and middle names: words that are first, or second of three or more, in at least `share` of the distinct names. At most 1 / share of each come to the driver. And the number of names."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for n in b["name"]:
+                rows.append(("all", ""))
                 w, upper, comma = name_tokens(n)
                 if comma < 0 and len(w) > 1 and not upper[0] and not is_office(w):
                     rows.append(("given", w[0]))
@@ -138,58 +141,118 @@ def lexicons(names: DataFrame, share: float) -> tuple[frozenset[str], frozenset[
             yield pd.DataFrame(rows, columns=["place", "word"])
 
     counts = names.mapInPandas(run, "place string, word string").groupBy("place", "word").agg(F.count("*").alias("n"))
-    total = names.count()
+    counts = cut(counts)
+    total = counts.where("place = 'all'").first()
+    total = total["n"] if total else 0
     often = [(r[0], r[1]) for r in counts.where((F.col("n") >= max(2.0, total * share)) & (F.length("word") > 1)).collect()]
-    given = frozenset(w for p, w in often if p == "given" and w not in NICKNAMES and "." not in w)
-    return given, frozenset(w for p, w in often if p == "middle" and w not in given and "." not in w)
-
-
-def segment_keys(s: str, edits: int, index: bool) -> list[str]:
-    """Keys of the inverted index: length, number and text of each segment of s; or, to look s up, of all substrings that may be a segment of a string within `edits`, shifted by so many places."""
-    out = []
-    lengths = (len(s),) if index else range(max(edits + 1, len(s) - edits), len(s) + edits + 1)
-    for n in lengths:
-        base, more = divmod(n, edits + 1)
-        at = 0
-        for k in range(edits + 1):
-            size = base + (k >= edits + 1 - more)
-            if index:
-                out.append(f"{n}|{k}|{s[at : at + size]}")
-            else:
-                shift = len(s) - n
-                for p in range(max(0, at - edits, at + shift - edits), min(len(s) - size, at + edits, at + shift + edits) + 1):
-                    out.append(f"{n}|{k}|{s[p : p + size]}")
-            at += size
+    given = frozenset(w for p, w in often if p == "given" and "." not in w)
+    return given, frozenset(w for p, w in often if p == "middle" and w not in given and "." not in w), total
+
+
+def short_forms(names: DataFrame, middle: frozenset[str], total: int, cover: float = COVER, share: float = SHORT_FORM_SHARE) -> dict[str, tuple[str, ...]]:
+    """The short forms of given names that the names themselves show: `Vasya` is one of `Vasily` if most surnames that stand with Vasya, and with one other first word at most, stand with Vasily.
+
+    Relatives share surnames too, but each with another first word, so that no pair of given names is as frequent. The rarer word of a pair is the short form; a word may be short for several names. Counted by surname, in one aggregation, without pairs; as a short form stands in `share` of the names at least, 1 / share of them at most come to the driver.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for name in b["name"]:
+                w, upper, comma = name_tokens(name)
+                if comma >= 0 or len(w) < 2 or upper[0] or is_office(w) or w[0] in PARTICLES or len(w[0].strip(".'")) < 2 or "." in w[0]:
+                    continue
+                n = 1
+                while n < len(w) - 1 and (w[n] in middle or re.fullmatch(r"[a-z]\.", w[n])):
+                    n += 1
+                rows.append((w[0], joined_surname(w[n:])))
+            yield pd.DataFrame(rows, columns=["head", "tail"])
+
+    by_tail = names.mapInPandas(run, "head string, tail string").distinct().groupBy("tail").agg(F.count("*").alias("n"), F.min("head").alias("lo"), F.max("head").alias("hi")).where("n <= 2")
+    two = F.col("n") == 2
+    sides = F.array_compact(F.array(F.struct(F.col("lo").alias("h"), F.when(two, F.col("hi")).alias("g")), F.when(two, F.struct(F.col("hi").alias("h"), F.col("lo").alias("g")))))
+    counts = by_tail.select(F.explode(sides).alias("x")).groupBy("x.h", "x.g").agg(F.count("*").alias("c"))
+    often = F.when((F.col("c") >= 2) & F.col("g").isNotNull(), F.struct("g", "c"))
+    totals = counts.groupBy("h").agg(F.sum("c").alias("t"), F.collect_list(often).alias("with"))
+    found = totals.where(F.expr(f"aggregate(with, 0L, (a, x) -> a + x.c) >= {cover} * t") & (F.col("t") >= total * share))
+    rows = {r["h"]: (r["t"], [(x["g"], x["c"]) for x in r["with"]]) for r in found.collect()}
+    out = {h: tuple(sorted(g for g, c in with_ if c >= 0.1 * t and not (g in rows and rows[g][0] <= t))) for h, (t, with_) in rows.items()}
+    typo = lambda h, g: len(h) > 3 and within(h, g, 1 if len(h) < 6 else 2) is not None
+    return {h: means for h, means in out.items() if not all(typo(h, g) for g in means)}
+
+
+def allowed(n: int, short: int, edits: int) -> int:
+    """By how many edits two texts may differ of which the shorter has n letters."""
+    return min(edits, 0 if n < LEAST_LETTERS else 1 if n < short else edits)
+
+
+def segments(n: int, k: int) -> list[tuple[int, int]]:
+    """Place and length of the k + 1 segments of a text of n letters; the last ones are the longer ones."""
+    base, more = divmod(n, k + 1)
+    sizes = [base + (i >= k + 1 - more) for i in range(k + 1)]
+    return [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
+
+
+def index_keys(s: str, edits: int, shortest: int, longest: int) -> list[str]:
+    """Keys of s in the inverted index: of each number of edits that may come into question (limits of one edit lie from `shortest` to `longest` letters), length, number and text of each segment."""
+    n = len(s)
+    ks = {allowed(m, short, edits) for m in range(max(1, n - edits), n + 1) for short in (shortest, longest)}
+    return [f"{k}|{n}|{i}|{s[at : at + size]}" for k in sorted(ks) if k < n for i, (at, size) in enumerate(segments(n, k))]
+
+
+def lookup_keys(s: str, edits: int, short: int) -> list[str]:
+    """Keys by which s finds every text within the edits that are allowed.
+
+    Of two texts within k edits, one of the k + 1 segments of the indexed one stands whole in the other, shifted by no more letters than there may be edits before it and after it. Only an exchange of the two letters at a border spoils two segments; so each exchange at a border is undone as well, and the segments at its sides are looked up.
+    """
+    m, out = len(s), []
+    for n in range(max(1, m - edits), m + edits + 1):
+        k, delta = allowed(min(m, n), short, edits), m - n
+        if abs(delta) > k or k >= n:
+            continue
+        parts = segments(n, k)
+        for i, (at, size) in enumerate(parts):
+            for p in range(max(0, at - i, at + delta - (k - i)), min(m - size, at + i, at + delta + (k - i)) + 1):
+                out.append(f"{k}|{n}|{i}|{s[p : p + size]}")
+        for i in range(1, k + 1) if abs(delta) < k else ():
+            (a, la), (b, lb) = parts[i - 1], parts[i]
+            for q in {b, b + delta}:
+                if 0 < q < m and s[q - 1] != s[q]:
+                    t = s[: q - 1] + s[q] + s[q - 1] + s[q + 1 :]
+                    if q >= la:
+                        out.append(f"{k}|{n}|{i - 1}|{t[q - la : q]}")
+                    if q + lb <= m:
+                        out.append(f"{k}|{n}|{i}|{t[q : q + lb]}")
     return list(dict.fromkeys(out))
 
 
-def segment_join(left: DataFrame, right: DataFrame, block: str, text: str, edits: int = EDITS, short: int = SHORT) -> DataFrame:
-    """Pairs (block, a, b, d) of texts of left and right in one block, d edits apart (exchange of neighbours is one), a != b; a text under `short` letters may differ by one edit only.
+def segment_join(left: DataFrame, right: DataFrame, edits: int = EDITS, shortest: int = SHORT, longest: int = SHORT_ALONE) -> DataFrame:
+    """Pairs of rows of left(block, a, short, ...) and right(block, b, ...) in one block whose texts a and b are d edits apart (exchange of neighbours is one), d as `allowed` for `short`, which lies from shortest to longest. Other columns come along; their names must differ. Rows of either side must be distinct. Null texts match nothing.
 
-    Each text of right is cut into edits + 1 segments, of which one stays whole in any text within `edits`; the texts of left look their shifted substrings up, and a banded edit distance verifies the pairs.
+    Each text of right is cut into segments, one more than there may be edits; the texts of left look their shifted substrings up, and a banded edit distance verifies the pairs.
     """
 
-    def keyed(index: bool):
+    def keyed(df: DataFrame, index: bool) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                rows = [(x, t, f"{x}|{k}") for x, t in zip(b["block"], b["text"]) for k in segment_keys(t, edits, index)]
-                yield pd.DataFrame(rows, columns=["block", "text", "key"])
+                if index:
+                    keys = [[f"{x}|{k}" for k in index_keys(t, edits, shortest, longest)] for x, t in zip(b["block"], b["b"])]
+                else:
+                    keys = [[f"{x}|{k}" for k in lookup_keys(t, edits, s)] for x, t, s in zip(b["block"], b["a"], b["short"])]
+                yield b.assign(key=keys).explode("key").dropna(subset=["key"])
 
-        return run
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        return df.where(F.col("b" if index else "a").isNotNull()).mapInPandas(run, f"{schema}, key string")
 
-    def side(df: DataFrame, index: bool, as_: str) -> DataFrame:
-        rows = df.select(F.col(block).alias("block"), F.col(text).alias("text")).where(F.length("text") > edits).distinct()
-        return rows.mapInPandas(keyed(index), "block string, text string, key string").select(F.col("block"), F.col("text").alias(as_), "key")
+    def distances(a: pd.Series, b: pd.Series, short: pd.Series) -> pd.Series:
+        return pd.Series([within(x, y, allowed(min(len(x), len(y)), s, edits)) for x, y, s in zip(a, b, short)], dtype="Int32")
 
-    def distances(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([within(x, y, min(1, edits) if min(len(x), len(y)) < short else edits) for x, y in zip(a, b)], dtype="Int32")
-
-    met = side(left, False, "a").join(side(right, True, "b").drop("block"), "key").where(F.col("a") != F.col("b")).select("block", "a", "b").distinct()
-    return met.withColumn("d", F.pandas_udf(distances, "int")("a", "b")).where(F.col("d").isNotNull())
+    met = keyed(left, False).join(keyed(right, True).drop("block"), "key").drop("key").distinct()
+    return met.withColumn("d", F.pandas_udf(distances, "int")("a", "b", "short")).where(F.col("d").isNotNull())
 
 
 def roots(parents: DataFrame) -> DataFrame:
-    """node, root: follows parents(node, parent) to the end; nodes without parent are their own. Pointers double in each round, and each round is written to the shared folder."""
+    """node, root: follows parents(node, parent) to the end; parents without a row are roots. Pointers double in each round, and each round is written to the shared folder."""
     state = parents.select("node", F.col("parent").alias("root"))
     while True:
         up = state.select(F.col("node").alias("root"), F.col("root").alias("next"))
@@ -199,67 +262,69 @@ def roots(parents: DataFrame) -> DataFrame:
             return state
 
 
-def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS) -> DataFrame:
-    """name, person for each distinct name of names(name, n) that means a person; names of one person get the same person.
-
-    Full names with one given name (as the corpus' given names are spelt) and surnames within `edits` are spellings of each other: each attaches to the nearest one that more records bear, unless it comes in several forms itself (a misspelling is written once, a person's own name in many ways). Initials and nicknames with a surname, and surnames alone, attach to a person only if exactly one may bear them, by the surname as it is spelt somewhere, or else by the nearest within `edits`. Names that only give an office, null and empty names get none. A misspelling with a middle name attaches only to a name with the same; a short form with a middle initial may lack it in the person's name.
-    """
+def parsed_names(names: DataFrame, share: float, nicknames: dict[str, tuple[str, ...]] | None) -> DataFrame:
+    """name, kind, given, middle, surname, blocks, plain, n of each distinct name that means a person. blocks: where the segment join looks the surname up; plain: the name without titles and blanks."""
     distinct = held(names.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("n").alias("n")))
-    given, middle = lexicons(distinct, share)
+    heads, middle, total = lexicons(distinct, share)
+    nick = short_forms(distinct, middle, total) | (nicknames or {})
+    given = frozenset(w for w in heads if w not in nick)
+    shorts = frozenset(nick)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(*p, n) for x, n in zip(b["name"], b["n"]) if (p := parse_name(x, given, middle)) is not None]
-            yield pd.DataFrame(rows, columns=["name", "kind", "given", "middle", "surname", "n"])
-
-    parsed = held(distinct.mapInPandas(run, "name string, kind string, given string, middle string, surname string, n long"))
-    full = parsed.where(F.col("kind") == "full")
-    plain = F.trim(F.regexp_replace(F.regexp_replace("name", r"(?i)\b(?:h\.\s?e|amb|mr|mrs|ms|dr)\.", " "), r"[\s\x{a0}]+", " "))
-    nodes = held(full.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max("middle").alias("middle"), F.countDistinct(plain).alias("forms")))
-    near = segment_join(nodes, nodes, "given", "surname", edits)
-    a, b = (nodes.select(F.col("given").alias("block"), F.col("surname").alias(x), F.col("n").alias(f"n{x}"), F.col("forms").alias(f"f{x}"), F.substring("middle", 1, 1).alias(f"m{x}")) for x in "ab")
-    pairs = near.join(a, ["block", "a"]).join(b, ["block", "b"])
-    higher = (F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
-    pairs = pairs.where(higher & (F.col("fa") == 1) & ((F.col("ma") == "") | (F.col("ma") == F.col("mb"))))
-    best = pairs.groupBy("block", "a").agg(F.min(F.struct("d", (-F.col("nb")).alias("o"), "b")).alias("x"))
-    person = lambda g, s: F.concat_ws("|", g, s)
-    up = best.select(person(F.col("block"), F.col("a")).alias("node"), person(F.col("block"), F.col("x.b")).alias("parent"))
-    own = nodes.select(person(F.col("given"), F.col("surname")).alias("node"), "given", "surname", "middle")
-    whole = held(own.join(roots(up), "node", "left").select("given", "surname", "middle", F.coalesce("root", "node").alias("person")))
-
-    # short forms: what may be borne, by surname
-    nick = names.sparkSession.createDataFrame([(k, g) for k, v in NICKNAMES.items() for g in v], "given string, means string")
-    shorts = parsed.where(F.col("kind") == "short").select("given", "middle", "surname").distinct()
-    with_nick = shorts.where(F.length("given") > 1).join(F.broadcast(nick), "given").select("given", "middle", "surname", "means")
-    meant = shorts.where(F.length("given") == 1).withColumn("means", F.col("given")).unionByName(with_nick)
-    bare = parsed.where(F.col("kind") == "bare").select("given", "middle", "surname").distinct().withColumn("means", F.lit(""))
-    asks = held(meant.unionByName(bare))
-    borne = whole.select(F.col("surname").alias("spelt"), F.col("given").alias("g"), F.substring("middle", 1, 1).alias("m"), "person")
-
-    spelt = segment_join(asks.withColumn("block", F.lit("")), whole.withColumn("block", F.lit("")), "block", "surname", edits, SHORT_ALONE).select(F.col("a").alias("surname"), F.col("b").alias("spelt"), "d")
-    same = asks.select("surname").distinct().select("surname", F.col("surname").alias("spelt"), F.lit(0).alias("d"))
-    fits = asks.join(same.unionByName(spelt), "surname").join(borne, "spelt").where(F.col("g").startswith(F.col("means")) & ((F.length("means") <= 1) | (F.col("g") == F.col("means"))))
-    fits = fits.where((F.col("middle") == "") | (F.col("m") == "") | (F.col("m") == F.substring("middle", 1, 1)))
+            rows = []
+            for x, n in zip(b["name"], b["n"]):
+                if (p := parse_name(x, given, middle, shorts)) is None:
+                    continue
+                _, kind, g, m, surname = p
+                blocks = ["*"] if kind == "bare" else [f"g:{g}"] if kind == "full" else [f"i:{g}"] if len(g) == 1 else [f"g:{y}" for y in nick.get(g, begun(g, given))]
+                plain = " ".join(re.sub(r"\b(?:h\.\s?e|amb|mr|mrs|ms|dr)\.", " ", x.replace("\xa0", " "), flags=re.IGNORECASE).split())
+                rows.append((x, kind, g, m, surname, blocks, plain, n))
+            yield pd.DataFrame(rows, columns=["name", "kind", "given", "middle", "surname", "blocks", "plain", "n"])
+
+    return held(distinct.mapInPandas(run, "name string, kind string, given string, middle string, surname string, blocks array<string>, plain string, n long"))
+
+
+def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS, nicknames: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """name, person for each distinct name of names(name, n) that means a person; names of one person get the same person.
+
+    Full names with one given name (as the corpus' given names are spelt) and surnames within `edits` are spellings of each other: each attaches to the nearest one that more records bear, unless it comes in several forms itself (a misspelling is written once, a person's own name in many ways). Initials and short forms with a surname, and surnames alone, attach to a person only if exactly one may bear them, by the surname as it is spelt somewhere, or else by the nearest within `edits`. Names that only give an office, null and empty names get none. A misspelling with a middle name attaches only to a name with the same; a short form with a middle initial may lack it in the person's name.
+
+    Given names and their short forms are learned from the names; `nicknames` may add others (short form: given names). One segment join finds the neighbours of all kinds of names.
+    """
+    parsed = parsed_names(names, share, nicknames)
+    full = F.col("kind") == "full"
+    node = F.concat_ws("|", "given", "surname")
+    nodes = parsed.where(full).groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max("middle").alias("middle"), F.countDistinct("plain").alias("forms"))
+    initial = F.substring("middle", 1, 1)
+    right = nodes.select(node.alias("nb"), F.col("given").alias("gb"), F.col("surname").alias("b"), F.col("n").alias("n_b"), initial.alias("mb"), F.explode(F.array(F.concat(F.lit("g:"), "given"), F.concat(F.lit("i:"), F.substring("given", 1, 1)), F.lit("*"))).alias("block"))
+    # who looks up: full names of one form, and all others
+    once = nodes.where("forms = 1").select(node.alias("na"), F.lit("full").alias("ka"), F.lit("").alias("ga"), F.col("surname").alias("a"), "n", initial.alias("ma"), F.lit(SHORT).alias("short"), F.concat(F.lit("g:"), "given").alias("block"))
+    asks = parsed.where(~full).select(node.alias("na"), F.col("kind").alias("ka"), F.col("given").alias("ga"), F.col("surname").alias("a"), F.lit(0).cast("long").alias("n"), F.col("middle").alias("ma"), F.when(F.length("given") > 1, SHORT).otherwise(SHORT_ALONE).alias("short"), F.explode("blocks").alias("block")).distinct()
+    left = once.unionByName(asks.withColumn("ma", F.coalesce("ma", F.lit(""))))
+    met = segment_join(left, right, edits)
+    own = F.col("ka") == "full"
+    higher = (F.col("n_b") > F.col("n")) | ((F.col("n_b") == F.col("n")) & (F.col("b") < F.col("a")))
+    met = met.where(F.when(own, (F.col("na") != F.col("nb")) & higher & ((F.col("ma") == "") | (F.col("ma") == F.col("mb")))).otherwise((F.col("ma") == "") | (F.col("mb") == "") | (F.col("mb") == F.substring("ma", 1, 1))))
+    met = held(met.select("ka", "ga", "ma", "a", "na", "nb", "b", "n_b", "d"))
+
+    best = met.where(own).groupBy("na").agg(F.min(F.struct("d", (-F.col("n_b")).alias("o"), "b", "nb")).alias("x"))
+    root = roots(best.select(F.col("na").alias("node"), F.col("x.nb").alias("parent")))
     # one person only at the least distance: the first and the last of its hashes are the same
+    fits = met.where(~own).select("ka", F.col("ga").alias("given"), F.col("ma").alias("middle"), F.col("a").alias("surname"), F.col("nb").alias("node"), "d").join(root, "node", "left").withColumn("person", F.coalesce("root", "node"))
     least = lambda sign: F.min(F.struct("d", (sign * (F.xxhash64("person") % (1 << 62))).alias("h"), "person"))
     found = fits.groupBy("given", "middle", "surname").agg(least(1).alias("lo"), least(-1).alias("hi"))
-    found = held(found.select("given", "middle", "surname", F.col("lo.person").alias("person"), (F.col("lo.person") == F.col("hi.person")).alias("only")))
-    settled = found.where("only").drop("only")
-    # short forms that no full name explains: equal ones are one person's
-    free = asks.where(F.col("means") != "").select("given", "middle", "surname").distinct().join(found, ["given", "middle", "surname"], "left_anti")
-    alone = free.select("given", "middle", "surname", F.concat_ws("|", F.lit("~"), "given", "surname").alias("person"))
-    by_short = settled.unionByName(alone)
-    lone_bare = bare.drop("means").join(found, ["given", "middle", "surname"], "left_anti").select("surname")
-    of_lone = alone.join(lone_bare, "surname", "left_semi").groupBy("surname").agg(F.min("person").alias("person"), F.countDistinct("person").alias("persons")).where(F.col("persons") == 1)
-    by_bare = of_lone.select(F.lit("").alias("given"), F.lit("").alias("middle"), "surname", "person")
-    keyed = whole.select("given", "surname", "person")
-    out = [
-        full.join(keyed, ["given", "surname"]).select("name", "person"),
-        parsed.where(F.col("kind") != "full").join(by_short.unionByName(by_bare).dropDuplicates(["given", "middle", "surname"]), ["given", "middle", "surname"]).select("name", "person"),
-    ]
-    linked = reduce(DataFrame.unionByName, out)
-    left_over = parsed.where(F.col("kind") == "bare").join(linked, "name", "left_anti").select("name", F.concat(F.lit("~|"), "surname").alias("person"))
-    return linked.unionByName(left_over)
+    found = found.select("given", "middle", "surname", F.col("lo.person").alias("borne"), (F.col("lo.person") == F.col("hi.person")).alias("only"))
+    # names that nobody bears: equal short forms are one person's, to whom a surname alone belongs if there is one only
+    rest = parsed.where(~full).select("name", "kind", "given", "middle", "surname").join(found, ["given", "middle", "surname"], "left")
+    short = F.col("kind") == "short"
+    alone = F.when(short & F.col("borne").isNull(), F.concat_ws("|", F.lit("~"), "given", "surname"))
+    by_surname = Window.partitionBy("surname")
+    rest = rest.withColumn("alone", alone).withColumn("first", F.min("alone").over(by_surname)).withColumn("last", F.max("alone").over(by_surname))
+    lone = F.concat(F.lit("~|"), "surname")
+    person = F.when(F.col("only"), F.col("borne")).when(short, F.col("alone")).when(F.col("borne").isNotNull(), lone).when(F.col("first") == F.col("last"), F.col("first")).otherwise(lone)
+    rest = rest.select("name", person.alias("person")).where(F.col("person").isNotNull())
+    return parsed.where(full).select("name", node.alias("node")).join(root, "node", "left").select("name", F.coalesce("root", "node").alias("person")).unionByName(rest)
 
 
 def all_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,12 +335,19 @@ def all_names(spark: SparkSession, sf: str) -> DataFrame:
     return s.unionByName(g).unionByName(r).groupBy("name").agg(F.count("*").alias("n"))
 
 
+#: Persons with more spellings are split before their pairs are formed.
+SPLIT = 1000
+
+
 @query("p2_found")
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    """All pairs of different strings that mean one person."""
+    """All pairs of different strings that mean one person. The spellings of a person with more than SPLIT of them are spread over several tasks, each of which pairs its part with all."""
     linked = held(link_names(all_names(spark, sf)))
-    a, b = linked.select(F.col("name").alias("name_a"), "person"), linked.select(F.col("name").alias("name_b"), "person")
-    return a.join(b, "person").where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b")
+    parts = F.ceil(F.count("*").over(Window.partitionBy("person")) / SPLIT).cast("int")
+    sized = linked.withColumn("parts", parts)
+    a = sized.select("person", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part"), F.col("name").alias("name_a"))
+    b = sized.select("person", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("name").alias("name_b"))
+    return a.join(b, ["person", "part"]).where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b")
 
 
 @query("p2_persons")
