@@ -1,11 +1,12 @@
 """Matching of entities across sources without keys: Gaussian mixtures over similarity vectors, fitted without labels.
 
-Pairs that share a block get a vector of similarities. Two Gaussians, for matched and unmatched pairs, are fitted by expectation-maximisation; similarities are independent within each, a missing one says nothing, and a ridge on the variances keeps them regular. The constraint that an entry means one target at most holds within each expectation step: the posteriors of an entry's pairs, together with that of no match at all, add up to one.
+Pairs that share a block get a vector of similarities. Two Gaussians, for matched and unmatched pairs, are fitted by expectation-maximisation; similarities are independent within each, a missing one says nothing, and a ridge on the variances keeps them regular. Transitivity holds within each expectation step: targets of one entry would have to be one event, and different targets are different events, so an entry means one of them at most, and the posteriors of its pairs, together with that of no match at all, add up to one.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,10 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import Registry
-from ..runtime import cut, held
+from ..runtime import cut, held, join_hot
 from ..tables import load
 from .lists import state_entries, state_forms
-from .names import all_names, link_names
+from .names import all_names, bearers
 from .strings import unaccent, within
 
 query = Registry()
@@ -58,9 +59,9 @@ def by_entry(batches: Iterator[pd.DataFrame], entry: str) -> Iterator[pd.DataFra
 
 
 def constrained(b: pd.DataFrame, entry: str, odds: np.ndarray) -> np.ndarray:
-    """Posteriors where of one entry's targets one at most is meant."""
+    """The posterior of one target of each row, where of one entry's targets one at most is meant; a row stands for `copies` targets."""
     _, group = np.unique(b[entry].to_numpy(), return_inverse=True)
-    return odds / (1 + np.bincount(group, weights=odds)[group])
+    return odds / (1 + np.bincount(group, weights=odds * b["copies"].to_numpy(dtype=float))[group])
 
 
 def moments(rows: list) -> Mixture | None:
@@ -80,14 +81,15 @@ def moments(rows: list) -> Mixture | None:
 
 
 def fit(pairs: DataFrame, entry: str, xs: list[str], rounds: int = ROUNDS) -> Mixture | None:
-    """The mixture of pairs(entry, xs..., start), whose partitions hold whole entries, sorted. Each round reads the pairs where they lie; a row of sums for each partition comes to the driver."""
+    """The mixture of pairs(entry, xs..., copies, start), whose partitions hold whole entries, sorted. A vector counts once for each entry that has it, by the posterior that any of its targets is meant: the many targets that only share a block with an entry are no better known than one of them. Each round reads the pairs where they lie; a row of sums for each partition comes to the driver."""
 
     def step(mix: Mixture | None) -> Mixture | None:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros(2 * (1 + 3 * len(xs)))
             for b in by_entry(batches, entry):
                 x = b[xs].to_numpy(dtype=float)
-                p = b["start"].to_numpy(dtype=float) if mix is None else constrained(b, entry, mix.odds(x))
+                n = b["copies"].to_numpy(dtype=float)
+                p = b["start"].to_numpy(dtype=float) if mix is None else n * constrained(b, entry, mix.odds(x))
                 known, filled = ~np.isnan(x), np.nan_to_num(x)
                 total += np.concatenate([v for w in (p, 1 - p) for v in ([w.sum()], w @ known, w @ filled, w @ filled**2)])
             yield pd.DataFrame({"sums": [total.tolist()]})
@@ -105,13 +107,14 @@ def fit(pairs: DataFrame, entry: str, xs: list[str], rounds: int = ROUNDS) -> Mi
     return mix
 
 
-def matches(pairs: DataFrame, entry: str, target: str, xs: list[str], start: Column, least: float = LEAST) -> DataFrame:
-    """entry, target, confidence: for each entry the target with the highest posterior, if that is `least` or more; among equals (repeated rows) the lowest target.
+def matches(pairs: DataFrame, entry: str, target: str, xs: list[str], start: Column, least: float = LEAST, prefer: str | None = None) -> DataFrame:
+    """entry, target, confidence: for each entry the target with the highest posterior. Targets with equal similarities share their posterior; the one with the lowest `prefer`, then the lowest target, is given, with its own share as confidence, if together they reach `least`.
 
-    Equal similarities of one entry count once, so that an entry has as many rows as there are different vectors of (rounded) similarities, however many targets share its block.
+    Pairs are distinct. Equal similarities of one entry are one row with the number of targets, so that an entry has as many rows as there are different vectors of (rounded) similarities, however many targets share its block.
     """
     kinds = dict(pairs.dtypes)
-    single = pairs.groupBy(entry, *xs).agg(F.min(target).alias(target)).withColumn("start", start)
+    first = F.min(F.struct(*([prefer] if prefer else []), target))[target]
+    single = pairs.groupBy(entry, *xs).agg(first.alias(target), F.count("*").alias("copies")).withColumn("start", start)
     single = cut(single.repartition(F.col(entry)).sortWithinPartitions(entry))
     mix = fit(single, entry, xs)
     if mix is None:
@@ -121,27 +124,46 @@ def matches(pairs: DataFrame, entry: str, target: str, xs: list[str], start: Col
         for b in by_entry(batches, entry):
             b = b.assign(confidence=constrained(b, entry, mix.odds(b[xs].to_numpy(dtype=float))))
             best = b.sort_values([entry, "confidence", target], ascending=[True, False, True]).drop_duplicates(entry)
-            yield best[best["confidence"] >= least][[entry, target, "confidence"]]
+            yield best[best["confidence"] * best["copies"] >= least][[entry, target, "confidence"]]
 
     return single.mapInPandas(run, f"{entry} {kinds[entry]}, {target} {kinds[target]}, confidence double")
 
 
 # General debate: entries and speeches.
 
-# How an address opens, in lower case without what scans confuse.
-OPENINGS = ("honour to address the general debate", "on behalf of my people i greet this assembly", "days ago i took office")
+#: The model of addresses: so many of the speeches that surely are addresses train it (those with the lowest hash), a word counts if it stands in this share of them and this many times as often as in all speeches, and of these so many words at most.
+SURE, WORD_SHARE, LIFT, MODEL_WORDS = 20_000, 0.02, 3.0, 10_000
+#: The logarithm of the odds against an address before any word is read.
+AGAINST = 4.0
 
+ANY_WORD = re.compile(r"[^\W\d_]+")
 
-def address_likeness(texts: pd.Series) -> pd.Series:
-    """Share of letter triples of the best opening that stand in the first 400 characters."""
-    grams = [{o[i : i + 3] for i in range(len(o) - 2)} for o in (x.replace(" ", "") for x in OPENINGS)]
 
-    def one(t: str | None) -> float:
-        s = "".join(c for c in (t or "")[:400].lower() if c.isalpha())
-        have = {s[i : i + 3] for i in range(len(s) - 2)}
-        return max(len(g & have) / len(g) for g in grams)
+def address_words(speeches: DataFrame, sure: DataFrame, bound: int = SURE) -> dict[str, float]:
+    """The words that tell addresses from other speeches, with the logarithms of how many times as often they stand in one.
 
-    return texts.map(one).astype("float64")
+    speeches(target_id, text) are counted whole and all; sure(target_id) are addresses, of which `bound` at most train. Each word counts once for each speech.
+    """
+    chosen = sure.distinct().withColumn("h", F.xxhash64("target_id")).orderBy("h", "target_id").limit(bound).select("target_id", F.lit(1).alias("sure"))
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    flagged = speeches.where(F.length("text") > 0).join(F.broadcast(chosen), "target_id", "left")  # `bound` rows at most
+    counts = cut(flagged.select("sure", F.explode(F.array_append(words, "")).alias("word")).groupBy("word").agg(F.count("sure").alias("s"), F.count("*").alias("n")))
+    if (total := counts.where(F.col("word") == "").first()) is None or not total["s"]:
+        return {}
+    lift = (F.col("s") / total["s"]) / (F.col("n") / total["n"])
+    telling = counts.where((F.col("word") != "") & (F.col("s") >= total["s"] * WORD_SHARE) & (lift >= LIFT))
+    return {r["word"]: math.log(r["lift"]) for r in telling.withColumn("lift", lift).orderBy(F.desc("s"), "word").limit(MODEL_WORDS).collect()}
+
+
+def address_likeness(weights: dict[str, float]):
+    """A function of whole texts: the probability that a speech with these words is an address, every word being evidence by itself."""
+
+    def likeness(texts: pd.Series) -> pd.Series:
+        known = weights.keys()
+        sums = [sum(weights[w] for w in set(ANY_WORD.findall(t.lower())) & known) if t else 0.0 for t in texts]
+        return pd.Series([1 / (1 + math.exp(AGAINST - x)) for x in sums], dtype="float64")
+
+    return F.pandas_udf(likeness, "double")
 
 
 def name_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -205,42 +227,49 @@ def date_likeness(a: Column, b: Column) -> Column:
 def debate_matches(spark: SparkSession, sf: str) -> DataFrame:
     """entry_id, target_id, confidence of general_debate_entries and the speeches that they list.
 
-    Blocks are the person that both names mean with the session, or with the day (up to three days off), so that a frequent name alone pairs nothing. Only speeches that open like an address are targets; how much so is one of the similarities.
+    Blocks are the person that both names mean, or their surname where that isn't known, with the session (one off at most) or the day (up to three days off, with day and month exchanged, or a year off), so that a frequent name alone pairs nothing. Whether a speech is an address at all is one of the similarities: its words, those of the whole text, are weighed by how typical they are of the speeches whose name, session and day all agree with an entry. Repeated rows of a speech are one target, the lowest id.
     """
     entries = load(spark, sf, "general_debate_entries", "id", "country_id", "speaker_name", "ga_session", "meeting_date").withColumnRenamed("id", "entry_id")
-    documents = load(spark, sf, "documents", "doc_id", "session", "date")
-    speeches = load(spark, sf, "speeches").select(F.col("id").alias("target_id"), "document_id", F.col("speaker.name").alias("name"), F.col("speaker.country").alias("country"), F.substring("text", 1, 400).alias("opens"))
-    likely = speeches.withColumn("address", F.pandas_udf(address_likeness, "double")("opens")).where(F.col("address") >= 0.5).drop("opens")
-    likely = held(likely.join(documents.withColumnRenamed("doc_id", "document_id"), "document_id"))
-    person = held(link_names(all_names(spark, sf)))
-    said = likely.join(person.withColumnRenamed("person", "bearer"), "name", "left").select("target_id", "name", "bearer", "country", "session", "date", "address")
-    listed = entries.join(person.select(F.col("name").alias("speaker_name"), F.col("person").alias("bearer")), "speaker_name", "left")
-    said, listed = held(said), held(listed)
-
-    def surname(c: str) -> Column:
-        return F.regexp_extract(F.col(c), r"([^|]*)$", 1)
-
-    def keys(session: str, day: str, spread: int) -> Column:
-        days = F.when(F.col(day).isNotNull(), F.transform(F.sequence(F.lit(-spread), F.lit(spread)), lambda k: F.concat_ws("|", F.lit("d"), "bearer", F.date_add(F.col(day), k).cast("string"))))
-        own = F.when(F.col(session).isNotNull(), F.concat_ws("|", F.lit("s"), "bearer", F.col(session).cast("string")))
-        by_surname = F.when(F.col(session).isNotNull(), F.concat_ws("|", F.lit("n"), surname("bearer"), F.col(session).cast("string")))
-        return F.explode(F.array_compact(F.array_distinct(F.concat(F.array(own, by_surname), F.coalesce(days, F.array().cast("array<string>"))))))
-
-    left = listed.where(F.col("bearer").isNotNull()).select("entry_id", keys("ga_session", "meeting_date", 3).alias("key"))
-    right = said.where(F.col("bearer").isNotNull()).select("target_id", keys("session", "date", 0).alias("key"))
+    documents = load(spark, sf, "documents", "doc_id", "session", "date").withColumnRenamed("doc_id", "document_id")
+    texts = load(spark, sf, "speeches", "id", "text").withColumnRenamed("id", "target_id")
+    speeches = load(spark, sf, "speeches").select(F.col("id").alias("target_id"), "document_id", F.col("speaker.name").alias("name"), F.col("speaker.country").alias("country"), F.xxhash64("text").alias("h"))
+    person = held(bearers(all_names(spark, sf)).select("name", F.col("person").alias("bearer"), F.coalesce(F.regexp_extract("person", r"([^|]*)$", 1), "surname").alias("family")))
+    once = cut(speeches.where(F.col("name").isNotNull()).groupBy("document_id", "name", "country", "h").agg(F.min("target_id").alias("target_id")).drop("h"))
+    said = held(join_hot(once, person, "name", "inner").join(documents, "document_id").select("target_id", "name", "bearer", "family", "country", "session", "date"))
+    listed = held(entries.withColumnRenamed("speaker_name", "typed").join(person.withColumnRenamed("name", "typed"), "typed"))
+
+    def keys(session: str, day: str, near: bool) -> Column:
+        """Of an entry (near) all sessions and days that may be meant; of a speech its own."""
+        d, s, none = F.col(day), F.col(session), F.array().cast("array<string>")
+        days = F.array(d)
+        if near:
+            turned = F.try_to_timestamp(F.concat_ws("-", F.year(d), F.date_format(d, "dd"), F.date_format(d, "MM"))).cast("date")
+            days = F.concat(F.transform(F.sequence(F.lit(-3), F.lit(3)), lambda k: F.date_add(d, k)), F.array(turned, F.add_months(d, 12), F.add_months(d, -12)))
+        sessions = F.array(s, s - 1, s + 1) if near else F.array(s)
+        by_day = F.transform(F.array_compact(days), lambda x: F.concat_ws("|", F.lit("d"), "bearer", x.cast("string")))
+        by_session = F.transform(sessions, lambda x: F.concat_ws("|", F.lit("s"), "bearer", x.cast("string")))
+        by_family = F.array(F.concat_ws("|", F.lit("n"), "family", s.cast("string")))
+        has = F.col("bearer").isNotNull()
+        return F.explode(F.array_distinct(F.concat(F.when(has & d.isNotNull(), by_day).otherwise(none), F.when(has & s.isNotNull(), by_session).otherwise(none), F.when(s.isNotNull(), by_family).otherwise(none))))
+
+    left = listed.select("entry_id", keys("ga_session", "meeting_date", True).alias("key"))
+    right = said.select("target_id", keys("session", "date", False).alias("key"))
     met = left.join(right, "key").select("entry_id", "target_id").distinct()
-    both = met.join(listed.withColumnRenamed("bearer", "pa"), "entry_id").join(said.withColumnRenamed("bearer", "pb"), "target_id")
+    both = met.join(listed.select("entry_id", "country_id", "typed", "ga_session", "meeting_date", F.col("bearer").alias("pa")), "entry_id").join(said.withColumnRenamed("bearer", "pb"), "target_id")
     xs = {
         "x_name": F.when(F.col("pa") == F.col("pb"), F.lit(1.0)).otherwise(F.col("likeness") * 0.8),
         "x_country": country_likeness(state_entries(spark, sf))("country_id", "country"),
         "x_session": F.when(F.col("ga_session").isNull() | F.col("session").isNull(), F.lit(None)).when(F.col("ga_session") == F.col("session"), 1.0).when(F.abs(F.col("ga_session") - F.col("session")) == 1, 0.75).otherwise(0.0),
         "x_date": date_likeness(F.col("meeting_date"), F.col("date")),
-        "x_address": F.round("address", 1),
     }
-    pairs = both.withColumn("likeness", F.pandas_udf(name_likeness, "double")("speaker_name", "name")).select("entry_id", "target_id", *(c.alias(k) for k, c in xs.items()))
-    pairs = pairs.where(F.col("x_name") >= 0.75)  # where only the surname agrees, initials must too
-    start = F.when(F.col("x_name") + sum(F.coalesce(F.col(x), F.lit(0.7)) for x in ("x_country", "x_session", "x_date")) >= 3.2, 0.95).otherwise(0.05)
-    return matches(pairs, "entry_id", "target_id", list(xs), start)
+    pairs = both.withColumn("likeness", F.pandas_udf(name_likeness, "double")("typed", "name")).select("entry_id", "target_id", *(c.alias(k) for k, c in xs.items()))
+    pairs = held(pairs.where(F.col("x_name") >= 0.75))  # where only the surname agrees, initials must too
+    sure = pairs.where((F.col("x_name") == 1) & (F.col("x_session") == 1) & (F.col("x_date") == 1)).select("target_id")
+    is_address = address_likeness(address_words(texts, sure))
+    addresses = texts.select("target_id", F.round(is_address("text"), 1).alias("x_address")).where(F.col("x_address") > 0)  # texts stay where they lie
+    pairs = pairs.join(addresses, "target_id", "left").withColumn("x_address", F.coalesce("x_address", F.lit(0.0)))
+    start = F.when(F.col("x_name") + F.col("x_address") + sum(F.coalesce(F.col(x), F.lit(0.7)) for x in ("x_country", "x_session", "x_date")) >= 3.9, 0.95).otherwise(0.05)
+    return matches(pairs, "entry_id", "target_id", [*xs, "x_address"], start)
 
 
 # Vetoes: rows and the documents of their meetings.
@@ -277,15 +306,16 @@ def words_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
 def veto_matches(spark: SparkSession, sf: str) -> DataFrame:
     """entry_id, target_id, confidence of vetoes and the documents of their meetings.
 
-    Blocks are the meeting number (typed in the symbol or in the agenda, and with one figure left out, for figures that are wrong, missing or exchanged) and the day, up to three days off. Among the instalments of one symbol on one day, the first is meant.
+    Blocks are the meeting number (typed in the symbol or in the agenda, and with one figure left out, for figures that are wrong, missing or exchanged) and the day, up to three days off. Instalments of one record with one day and title are one target, the first of them.
     """
     number = lambda c: F.regexp_replace(F.regexp_extract(F.regexp_replace(F.upper(c), r"\((?:RESUMPTION|PART)[^)]*\)", ""), r"(?:^|[^\d/])(\d{1,6})\s*(?:TH|ST|ND|RD)?(?:\s*MEETING)?\s*$", 1), "^0+(?=.{3})", "")
     in_agenda = F.coalesce(F.nullif(F.regexp_extract("agenda", r"(?i)meeting\s+(\d{2,6})", 1), F.lit("")), F.nullif(F.regexp_extract("agenda", r"(?i)(\d{2,6})(?:th|st|nd|rd)\s+meeting", 1), F.lit("")))
     bare_agenda = F.nullif(F.trim(F.regexp_replace(F.regexp_replace("agenda", r"(?i)[;(]?\s*(?:meeting\s+\d+|\d+(?:th|st|nd|rd)\s+meeting)\)?|no title given", ""), r"(?i)^\s*the\s+", "")), F.lit(""))
     v = load(spark, sf, "vetoes", "dppa_id", "date", "meeting_symbol", "agenda")
     v = v.select(F.col("dppa_id").alias("entry_id"), F.col("date").alias("va"), F.coalesce(F.nullif(number(F.col("meeting_symbol")), F.lit("")), in_agenda).alias("na"), bare_agenda.alias("title_a"))
-    d = load(spark, sf, "documents", "doc_id", "symbol", "date", "title", "body", "instalment").where((F.col("body") == "SC") & (F.col("instalment") == 1))
-    d = d.select(F.col("doc_id").alias("target_id"), F.col("date").alias("vb"), F.regexp_extract("symbol", r"(\d+)\D*$", 1).alias("nb"), F.col("title").alias("title_b"))
+    d = load(spark, sf, "documents", "doc_id", "symbol", "date", "title", "body", "instalment").where(F.col("body") == "SC")
+    d = d.groupBy("symbol", F.col("date").alias("vb"), F.col("title").alias("title_b")).agg(F.min(F.struct("instalment", "doc_id")).alias("x"))
+    d = held(d.select(F.col("x.doc_id").alias("target_id"), "x.instalment", "vb", F.regexp_extract("symbol", r"(\d+)\D*$", 1).alias("nb"), "title_b"))
 
     def keys(n: str, day: str, spread: int) -> Column:
         text = F.col(n)
@@ -298,14 +328,14 @@ def veto_matches(spark: SparkSession, sf: str) -> DataFrame:
     both = met.join(v, "entry_id").join(d, "target_id")
     near = F.abs(F.datediff("va", "vb"))
     pairs = both.select(
-        "entry_id", "target_id",
+        "entry_id", "target_id", "instalment",
         F.pandas_udf(number_likeness, "double")("na", "nb").alias("x_number"),
         F.when(F.col("va").isNull() | F.col("vb").isNull(), F.lit(None)).when(near == 0, 1.0).when(near <= 3, 1 - 0.1 * near).when((F.year("va") == F.year("vb")) & (near <= 31), 0.3).otherwise(0.0).alias("x_date"),
         F.pandas_udf(words_likeness, "double")("title_a", "title_b").alias("x_title"),
     )
     known = [F.coalesce(F.col(x), F.lit(0.7)) for x in ("x_number", "x_date", "x_title")]
     start = F.when((known[0] >= 0.3) & (known[0] + known[1] + known[2] >= 2.1), 0.95).otherwise(0.05)
-    return matches(pairs, "entry_id", "target_id", ["x_number", "x_date", "x_title"], start)
+    return matches(pairs, "entry_id", "target_id", ["x_number", "x_date", "x_title"], start, prefer="instalment")
 
 
 def _matched(spark: SparkSession, sf: str) -> DataFrame:

@@ -285,8 +285,8 @@ def parsed_names(names: DataFrame, share: float, nicknames: dict[str, tuple[str,
     return held(distinct.mapInPandas(run, "name string, kind string, given string, middle string, surname string, blocks array<string>, plain string, n long"))
 
 
-def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS, nicknames: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """name, person for each distinct name of names(name, n) that means a person; names of one person get the same person.
+def bearers(names: DataFrame, share: float = SHARE, edits: int = EDITS, nicknames: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """name, person, surname for each distinct name of names(name, n) that means a person; names of one person get the same person, short forms that several persons may bear get none.
 
     Full names with one given name (as the corpus' given names are spelt) and surnames within `edits` are spellings of each other: each attaches to the nearest one that more records bear, unless it comes in several forms itself (a misspelling is written once, a person's own name in many ways). Initials and short forms with a surname, and surnames alone, attach to a person only if exactly one may bear them, by the surname as it is spelt somewhere, or else by the nearest within `edits`. Names that only give an office, null and empty names get none. A misspelling with a middle name attaches only to a name with the same; a short form with a middle initial may lack it in the person's name.
 
@@ -323,8 +323,13 @@ def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS, nickn
     rest = rest.withColumn("alone", alone).withColumn("first", F.min("alone").over(by_surname)).withColumn("last", F.max("alone").over(by_surname))
     lone = F.concat(F.lit("~|"), "surname")
     person = F.when(F.col("only"), F.col("borne")).when(short, F.col("alone")).when(F.col("borne").isNotNull(), lone).when(F.col("first") == F.col("last"), F.col("first")).otherwise(lone)
-    rest = rest.select("name", person.alias("person")).where(F.col("person").isNotNull())
-    return parsed.where(full).select("name", node.alias("node")).join(root, "node", "left").select("name", F.coalesce("root", "node").alias("person")).unionByName(rest)
+    rest = rest.select("name", person.alias("person"), "surname")
+    return parsed.where(full).select("name", node.alias("node"), "surname").join(root, "node", "left").select("name", F.coalesce("root", "node").alias("person"), "surname").unionByName(rest)
+
+
+def link_names(names: DataFrame, share: float = SHARE, edits: int = EDITS, nicknames: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """name, person of the names whose bearer is known; see bearers."""
+    return bearers(names, share, edits, nicknames).where(F.col("person").isNotNull()).select("name", "person")
 
 
 def all_names(spark: SparkSession, sf: str) -> DataFrame:

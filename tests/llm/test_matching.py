@@ -3,7 +3,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from rostrum.llm.matching import date_likeness, debate_matches, matches, veto_matches
+from rostrum.llm.matching import address_likeness, address_words, date_likeness, debate_matches, matches, veto_matches
 
 
 def test_mixture_finds_planted_matches(spark):
@@ -24,7 +24,9 @@ def test_mixture_finds_planted_matches(spark):
     got = {(m["entry"], m["target"]): m["confidence"] for m in matches(df, "entry", "target", ["a", "b", "c"], start).collect()}
     assert len({e for e, _ in got}) == len(got)
     assert len(want & {*got}) / len(want) > 0.95 and len(want & {*got}) / len(got) > 0.95
-    assert all(0.5 <= p <= 1 for p in got.values())
+    assert all(0.25 <= p <= 0.5 for p in got.values())  # two targets alike share the posterior
+    alone = matches(df.where("target % 10 != 5"), "entry", "target", ["a", "b", "c"], start).collect()
+    assert all(0.5 <= m["confidence"] <= 1 for m in alone) and len(want & {(m["entry"], m["target"]) for m in alone}) / len(want) > 0.95
     assert matches(df.where("false"), "entry", "target", ["a", "b", "c"], start).count() == 0
 
 
@@ -35,6 +37,17 @@ def test_dates(spark):
     assert [r[0] for r in df.select(date_likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 0.92, 0.8, 0.8, 0.0, None]
 
 
+def test_address_words(spark):
+    texts = [(k, f"Here I greet this house. Matter {'abcdefg'[k % 7] * 3} calls for care." if k < 40 else f"Matter {'abcdefg'[k % 7] * 3} calls for care.") for k in range(400)] + [(900, None), (901, "")]
+    speeches = spark.createDataFrame(texts, "target_id long, text string")
+    weights = address_words(speeches, spark.createDataFrame([(k,) for k in range(30)] + [(900,)], "target_id long"), bound=25)
+    assert {*weights} == {"here", "i", "greet", "this", "house"}
+    likely = address_likeness(weights)
+    got = dict(speeches.select("target_id", likely("text")).collect())
+    assert all((p > 0.9) == (k < 40) for k, p in got.items())
+    assert address_words(speeches, speeches.select("target_id").where("false")) == {} == address_words(speeches.where("false"), speeches.select("target_id"))
+
+
 def write(spark, folder, name, rows, schema):
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
 
