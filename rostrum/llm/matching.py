@@ -6,9 +6,9 @@ Pairs that share a block get a vector of similarities. Two Gaussians, for matche
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -136,16 +136,13 @@ SURE, WORD_SHARE, LIFT, MODEL_WORDS = 20_000, 0.02, 3.0, 10_000
 #: The logarithm of the odds against an address before any word is read.
 AGAINST = 4.0
 
-ANY_WORD = re.compile(r"[^\W\d_]+")
-
-
 def address_words(speeches: DataFrame, sure: DataFrame, bound: int = SURE) -> dict[str, float]:
     """The words that tell addresses from other speeches, with the logarithms of how many times as often they stand in one.
 
-    speeches(target_id, text) are counted whole and all; sure(target_id) are addresses, of which `bound` at most train. Each word counts once for each speech.
+    Words are what stands between blanks, in lower case. speeches(target_id, text) are counted whole and all; sure(target_id) are addresses, of which `bound` at most train. Each word counts once for each speech.
     """
     chosen = sure.distinct().withColumn("h", F.xxhash64("target_id")).orderBy("h", "target_id").limit(bound).select("target_id", F.lit(1).alias("sure"))
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    words = F.array_distinct(F.split(F.lower("text"), r"\s+"))
     flagged = speeches.where(F.length("text") > 0).join(F.broadcast(chosen), "target_id", "left")  # `bound` rows at most
     counts = cut(flagged.select("sure", F.explode(F.array_append(words, "")).alias("word")).groupBy("word").agg(F.count("sure").alias("s"), F.count("*").alias("n")))
     if (total := counts.where(F.col("word") == "").first()) is None or not total["s"]:
@@ -160,7 +157,7 @@ def address_likeness(weights: dict[str, float]):
 
     def likeness(texts: pd.Series) -> pd.Series:
         known = weights.keys()
-        sums = [sum(weights[w] for w in set(ANY_WORD.findall(t.lower())) & known) if t else 0.0 for t in texts]
+        sums = [sum(weights[w] for w in known & set(t.lower().split())) if t else 0.0 for t in texts]
         return pd.Series([1 / (1 + math.exp(AGAINST - x)) for x in sums], dtype="float64")
 
     return F.pandas_udf(likeness, "double")
@@ -178,6 +175,11 @@ def name_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
+@lru_cache(maxsize=1 << 16)
+def _forms(typed: str) -> tuple:
+    return tuple(state_forms(typed))
+
+
 #: The list of states must stay under this, as every task holds it.
 MOST_STATES = 100_000
 
@@ -197,7 +199,7 @@ def country_likeness(entries: DataFrame):
     def likeness(ids: pd.Series, typed: pd.Series) -> pd.Series:
         out = []
         for i, t in zip(ids, typed):
-            forms = state_forms(t) if t and i == i and i is not None else []
+            forms = _forms(t) if t and i == i and i is not None else ()
             if not forms:
                 out.append(None)
                 continue
@@ -262,7 +264,7 @@ def debate_matches(spark: SparkSession, sf: str) -> DataFrame:
         "x_session": F.when(F.col("ga_session").isNull() | F.col("session").isNull(), F.lit(None)).when(F.col("ga_session") == F.col("session"), 1.0).when(F.abs(F.col("ga_session") - F.col("session")) == 1, 0.75).otherwise(0.0),
         "x_date": date_likeness(F.col("meeting_date"), F.col("date")),
     }
-    pairs = both.withColumn("likeness", F.pandas_udf(name_likeness, "double")("typed", "name")).select("entry_id", "target_id", *(c.alias(k) for k, c in xs.items()))
+    pairs = both.withColumn("likeness", F.pandas_udf(name_likeness, "double")(*(F.when(F.col("pa") == F.col("pb"), F.lit(None)).otherwise(F.col(c)) for c in ("typed", "name")))).select("entry_id", "target_id", *(c.alias(k) for k, c in xs.items()))
     pairs = held(pairs.where(F.col("x_name") >= 0.75))  # where only the surname agrees, initials must too
     sure = pairs.where((F.col("x_name") == 1) & (F.col("x_session") == 1) & (F.col("x_date") == 1)).select("target_id")
     is_address = address_likeness(address_words(texts, sure))

@@ -248,6 +248,9 @@ def segment_join(left: DataFrame, right: DataFrame, edits: int = EDITS, shortest
         return pd.Series([within(x, y, allowed(min(len(x), len(y)), s, edits)) for x, y, s in zip(a, b, short)], dtype="Int32")
 
     met = keyed(left, False).join(keyed(right, True).drop("block"), "key").drop("key").distinct()
+    # an exchange of neighbours counts as two edits there
+    near = F.when(F.least(F.length("a"), F.length("b")) < F.col("short"), F.levenshtein("a", "b", 2 * min(1, edits))).otherwise(F.levenshtein("a", "b", 2 * edits))
+    met = met.where(near >= 0)
     return met.withColumn("d", F.pandas_udf(distances, "int")("a", "b", "short")).where(F.col("d").isNotNull())
 
 

@@ -41,7 +41,7 @@ def test_address_words(spark):
     texts = [(k, f"Here I greet this house. Matter {'abcdefg'[k % 7] * 3} calls for care." if k < 40 else f"Matter {'abcdefg'[k % 7] * 3} calls for care.") for k in range(400)] + [(900, None), (901, "")]
     speeches = spark.createDataFrame(texts, "target_id long, text string")
     weights = address_words(speeches, spark.createDataFrame([(k,) for k in range(30)] + [(900,)], "target_id long"), bound=25)
-    assert {*weights} == {"here", "i", "greet", "this", "house"}
+    assert {*weights} == {"here", "i", "greet", "this", "house."}
     likely = address_likeness(weights)
     got = dict(speeches.select("target_id", likely("text")).collect())
     assert all((p > 0.9) == (k < 40) for k, p in got.items())
