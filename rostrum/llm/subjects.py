@@ -2,26 +2,25 @@
 
 For each subject there is a bigram model, trained on labelled documents. It is interpolated with its unigrams and with the background model, which counts the bigrams of all documents. A sentence speaks for the subject whose model gives it the lowest cross-entropy, if that keeps up with the background, beats two further background models (that of the held-out test items, for leaked passages, and that of passing remarks, which are sentences of labelled documents on subjects that these don't have) and leads the next subject by enough. How much is enough is calibrated on labelled documents that trained nothing.
 
-Counts are kept in hashed buckets, so that a model has the same size however large the corpus is.
+Counts are exact. Models have the size of the bounded sample that trains them; the background leaves out what is rarer than RARE, so that it has a bounded size too.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import Registry
 from ..runtime import cut
 from ..tables import load
-from .sketch import Tables, gathered
 
 query = Registry()
 
@@ -29,7 +28,8 @@ query = Registry()
 LABELLED = 20_000
 #: One in so many labelled documents calibrates and trains nothing.
 HELD_OUT = 5
-BUCKETS = 1 << 18
+#: Words and bigrams with a smaller share of the corpus, or one find only, count as unseen in the background; so its table has fewer than 3 / RARE entries, of 12 bytes.
+RARE, LEAST = 1 / (1 << 23), 2
 #: Interpolation: how many observations the lower model counts for, in the background (bigrams over unigrams), in a model's unigrams (over the background's) and in its bigrams (over the background's bigrams, mixed with its own unigrams by the share MIXED).
 OVER_UNIGRAMS, OVER_BACKGROUND, OVER_BIGRAMS, MIXED = 5.0, 500.0, 5.0, 0.5
 #: What is taken off each count of a subject's model, so that chance finds weigh nothing: so many standard deviations of a count.
@@ -40,6 +40,8 @@ REMARK = 3.0
 SHORT = 1.0
 #: Candidates for the nats by which the best subject of a sentence must beat the second.
 LEADS = (1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0, 8.0)
+#: Candidates for the nats a token by which it must.
+RATES = (0.0, 0.05, 0.1, 0.2, 0.3, 0.45)
 
 WORD = re.compile(r"[^\W\d_]+")
 TORN = re.compile(r"(?<=\w)(?:-|­)[ \t]*\n\s*(?=[^\W\d_])|(?<=[^\W\d_])- +(?=[^\W\d_])|­")
@@ -48,28 +50,29 @@ END = re.compile(r"(?<=[.!?…])\s+|\n\s*\n")
 
 def sentences(text: str) -> list[list[str]]:
     """The words of each sentence in lower case; words that a line end tears apart are joined first."""
-    text = TORN.sub("", unicodedata.normalize("NFKC", text)).lower()
-    return [w for s in END.split(text) if (w := WORD.findall(s))]
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text)
+    if "-" in text or "\xad" in text:
+        text = TORN.sub("", text)
+    return [w for s in END.split(text.lower()) if (w := WORD.findall(s))]
 
 
-_codes: dict[str, int] = {}
+class Codes(dict):
+    """64 bits for each word."""
 
+    def __missing__(self, word: str) -> int:
+        if len(self) > 2_000_000:
+            self.clear()
+        self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) | 1
+        return self[word]
 
-def codes_of(words: list[str]) -> list[int]:
-    if len(_codes) > 2_000_000:
-        _codes.clear()
-    out = []
-    for w in words:
-        c = _codes.get(w)
-        if c is None:
-            c = _codes[w] = (zlib.crc32(w.encode("utf-8", "replace")) * 0x9E3779B1 + 1) & 0xFFFFFFFF
-        out.append(c)
-    return out
+
+_codes = Codes()
 
 
 @dataclass
 class Coded:
-    """Sentences as arrays: of each token its own and its predecessor's code, and where sentences begin."""
+    """Sentences as arrays: of each token its own and its predecessor's code (0: it is the first), and where sentences begin."""
 
     word: np.ndarray
     before: np.ndarray
@@ -77,27 +80,76 @@ class Coded:
 
     @classmethod
     def of(cls, split: list[list[str]]) -> Coded:
-        word, before, begins = [], [], []
-        for s in split:
-            c = codes_of(s)
-            begins.append(len(word))
-            word += c
-            before.append(0)
-            before += c[:-1]
-        return cls(np.array(word, dtype=np.uint64), np.array(before, dtype=np.uint64), np.array(begins, dtype=np.int64))
+        word = np.array([_codes[w] for s in split for w in s], dtype=np.uint64)
+        begins = np.cumsum([0, *map(len, split)], dtype=np.int64)[:-1]
+        before = np.zeros_like(word)
+        before[1:] = word[:-1]
+        before[begins[begins < len(before)]] = 0
+        return cls(word, before, begins)
+
+
+def keys(word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys under which a word, a predecessor and a bigram are counted."""
+    mixed = (before * np.uint64(0x85EBCA77C2B2AE63) + np.uint64(7)) ^ (word * np.uint64(0xC2B2AE3D27D4EB4F))
+    return word.view(np.int64), (before * np.uint64(0x9E3779B97F4A7C15) + np.uint64(3)).view(np.int64), ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+ROWS = "name string, kind int, key long, n long"
+#: After so many tokens a task gives away what it has counted.
+FLUSH = 1_000_000
+
+
+class Tally:
+    """The counts of a task: words (kind 0), predecessors (1) and bigrams (2) under names."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, list[Coded]] = {}
+        self.size = 0
+
+    def add(self, name: str, coded: Coded) -> None:
+        if len(coded.word):
+            self.of.setdefault(name, []).append(coded)
+            self.size += len(coded.word)
+
+    def rows(self) -> pd.DataFrame:
+        out = []
+        for name, parts in self.of.items():
+            for kind, k in enumerate(keys(np.concatenate([c.word for c in parts]), np.concatenate([c.before for c in parts]))):
+                u, n = np.unique(k, return_counts=True)
+                out.append(pd.DataFrame({"name": name, "kind": np.int32(kind), "key": u, "n": n}))
+        self.of, self.size = {}, 0
+        return pd.concat(out) if out else pd.DataFrame({"name": pd.Series(dtype=object), "kind": pd.Series(dtype=np.int32), "key": pd.Series(dtype=np.int64), "n": pd.Series(dtype=np.int64)})
+
 
-    def buckets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each token the buckets of its unigram, its predecessor's unigram and its bigram."""
-        mask = np.uint64(BUCKETS - 1)
-        mixed = (self.before * np.uint64(0x85EBCA77C2B2AE63) ^ self.word * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(29)
-        return (self.word & mask).astype(np.int64), (self.before & mask).astype(np.int64), (mixed & mask).astype(np.int64)
+def counted(df: DataFrame, count: Callable[[pd.DataFrame, Tally], None]) -> DataFrame:
+    """name, kind, key, n of what `count` puts into tallies. Every task adds up its own first; the counts are then added up by key."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = Tally()
+        for b in batches:
+            count(b, t)
+            if t.size > FLUSH:
+                yield t.rows()
+        yield t.rows()
+
+    return df.mapInPandas(run, ROWS).groupBy("name", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+class Table:
+    """Counts by key, a row for each name; keys that aren't there have 0."""
+
+    def __init__(self, rows: pd.DataFrame, names: list[str]) -> None:
+        self.keys, place = np.unique(rows["key"].to_numpy(dtype=np.int64), return_inverse=True)
+        self.counts = np.zeros((len(names), len(self.keys) + 1), dtype=np.float32)
+        at = {n: k for k, n in enumerate(names)}
+        np.add.at(self.counts, (rows["name"].map(at).to_numpy(dtype=np.int64), place), rows["n"].to_numpy())
 
-def add(tables: Tables, name: str, coded: Coded) -> None:
-    """Counts words, predecessors and bigrams under a name."""
-    if len(coded.word):
-        for row, b in zip(tables.get(name), coded.buckets()):
-            row += np.bincount(b, minlength=BUCKETS)
+    def of(self, key: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros((len(self.counts), len(key)), dtype=np.float32)
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return self.counts[:, np.where(self.keys[at] == key, at, len(self.keys))]
 
 
 def sure(counts: np.ndarray) -> np.ndarray:
@@ -107,43 +159,47 @@ def sure(counts: np.ndarray) -> np.ndarray:
 class Models:
     """The background and the models that are compared with it; `subjects` of `names` are subjects, the rest further backgrounds."""
 
-    def __init__(self, background: np.ndarray, models: dict[str, np.ndarray], subjects: list[str]) -> None:
-        self.subjects = [s for s in subjects if s in models]
-        self.names = self.subjects + sorted(n for n in models if n not in self.subjects)
-        self.background = background.astype(np.float32)
-        self.tables = [models[n].astype(np.float32) for n in self.names]
+    def __init__(self, background: pd.DataFrame, tokens: float, words: int, models: pd.DataFrame, subjects: list[str]) -> None:
+        known = set(models["name"])
+        self.subjects = [s for s in subjects if s in known]
+        self.names = self.subjects + sorted(known - {*self.subjects})
+        self.background = Table(background.assign(name=""), [""])
+        self.tokens, self.words = tokens, words
+        self.models = Table(models, self.names)
+        self.sizes = np.array([models.loc[(models["name"] == n) & (models["kind"] == 0), "n"].sum() for n in self.names], dtype=np.float32)[:, None]
 
     def gains(self, coded: Coded) -> np.ndarray:
         """For each sentence and model: the nats by which the model's cross-entropy lies below the background's, over all its tokens."""
         if not len(coded.begins):
             return np.zeros((0, len(self.names)), dtype=np.float32)
-        word, before, both = coded.buckets()
-        _, first, place = np.unique(both * BUCKETS + word, return_index=True, return_inverse=True)
-        word, before, both = word[first], before[first], both[first]
-        c = self.background
-        unigram = (c[0, word] + 0.5) / (float(c[0].sum()) + 0.5 * BUCKETS)
-        bigram = (c[2, both] + OVER_UNIGRAMS * unigram) / (c[1, before] + OVER_UNIGRAMS)
+        both, first, place = np.unique(keys(coded.word, coded.before)[2], return_index=True, return_inverse=True)
+        word, before, _ = keys(coded.word[first], coded.before[first])
+        w, w_at = np.unique(word, return_inverse=True)
+        b, b_at = np.unique(before, return_inverse=True)
+        unigram = ((self.background.of(w)[0] + 0.5) / (self.tokens + 0.5 * self.words))[w_at]
+        bigram = (self.background.of(both)[0] + OVER_UNIGRAMS * unigram) / (self.background.of(b)[0][b_at] + OVER_UNIGRAMS)
         out = np.empty((len(coded.begins), len(self.names)), dtype=np.float32)
-        for k, c in enumerate(self.tables):
-            own = (sure(c[0, word]) + OVER_BACKGROUND * unigram) / (float(c[0].sum()) + OVER_BACKGROUND)
+        own_w, own_b, own_both = sure(self.models.of(w)), self.models.of(b), sure(self.models.of(both))
+        for k in range(len(self.names)):
+            own = (own_w[k][w_at] + OVER_BACKGROUND * unigram) / (self.sizes[k, 0] + OVER_BACKGROUND)
             lower = (1 - MIXED) * bigram + MIXED * own
-            gain = np.log((sure(c[2, both]) + OVER_BIGRAMS * lower) / ((c[1, before] + OVER_BIGRAMS) * bigram)).astype(np.float32)
+            gain = np.log((own_both[k] + OVER_BIGRAMS * lower) / ((own_b[k][b_at] + OVER_BIGRAMS) * bigram)).astype(np.float32)
             out[:, k] = np.add.reduceat(gain[place], coded.begins)
         return out
 
-    def speaking(self, gains: np.ndarray, least: float) -> np.ndarray:
-        """The subject that each sentence speaks for, -1 for none: its model must be the best of all, keep up with the background, and lead the next subject by `least`."""
+    def speaking(self, gains: np.ndarray, lengths: np.ndarray, least: float, rate: float = 0.0) -> np.ndarray:
+        """The subject that each sentence speaks for, -1 for none: its model must be the best of all, keep up with the background, and lead the next subject by `least` nats, and by `rate` nats a token (the difference of their cross-entropies)."""
         n = len(self.subjects)
         if not len(gains) or not n:
             return np.full(len(gains), -1, dtype=np.int64)
         best = gains.argmax(axis=1)
         among = np.sort(np.column_stack([gains[:, :n], np.full(len(gains), -1e9)]), axis=1)
         lead = among[:, -1] - among[:, -2]
-        return np.where((best < n) & (among[:, -1] > -SHORT) & (lead >= least), best, -1)
+        return np.where((best < n) & (among[:, -1] > -SHORT) & (lead >= least) & (lead >= rate * lengths), best, -1)
 
 
-def _grouped(b: pd.DataFrame, models: Models) -> Iterator[tuple[int, list[list[str]], np.ndarray]]:
-    """Row, sentences, gains; many texts are measured at once."""
+def _grouped(b: pd.DataFrame, models: Models) -> Iterator[tuple[int, list[list[str]], np.ndarray, np.ndarray]]:
+    """Row, sentences, gains, lengths; many texts are measured at once."""
     held, size = [], 0
     for k, t in enumerate(b["text"]):
         s = sentences(t) if t else []
@@ -153,13 +209,13 @@ def _grouped(b: pd.DataFrame, models: Models) -> Iterator[tuple[int, list[list[s
             gains = models.gains(Coded.of([x for _, s in held for x in s]))
             at = 0
             for j, s in held:
-                yield j, s, gains[at : at + len(s)]
+                yield j, s, gains[at : at + len(s)], np.array([len(x) for x in s], dtype=np.float32)
                 at += len(s)
             held, size = [], 0
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out_items: DataFrame | None = None, bound: int = LABELLED) -> tuple[Models, float]:
-    """The models, and the calibrated least gain of a sentence.
+def train(docs: DataFrame, labels: DataFrame, held_out_items: DataFrame | None = None, bound: int = LABELLED) -> tuple[Models, tuple[float, float]]:
+    """The models, and the calibrated least lead of a sentence, in nats and in nats a token.
 
     docs(doc_id, text), labels(doc_id, subject), held_out_items(text). The background counts all docs. Of more than `bound` labelled documents those with the lowest hash of their id are taken. Documents with one subject train its model; every fifth document by hash only calibrates. Labels without document, and null subjects, are left out.
     """
@@ -168,58 +224,52 @@ def train(docs: DataFrame, labels: DataFrame, held_out_items: DataFrame | None =
     chosen = by_doc.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(bound)
     sample = cut(docs.where(F.length("text") > 0).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "subjects", (F.pmod("h", F.lit(HELD_OUT)) == 0).alias("calibrates")))  # `bound` rows at most
 
-    def all_text(batches: Iterator[pd.DataFrame], c: Tables) -> None:
-        for b in batches:
-            held: list[list[str]] = []
-            for k, t in enumerate(b["text"]):
-                held += sentences(t) if t else []
-                if len(held) > 20_000 or k == len(b) - 1:
-                    add(c, "", Coded.of(held))
-                    held = []
-
-    def own_text(batches: Iterator[pd.DataFrame], c: Tables) -> None:
-        for b in batches:
-            for s, t in ((s[0], t) for s, t in zip(b["subjects"], b["text"]) if len(s) == 1):
-                add(c, s, Coded.of(sentences(t)))
+    def all_text(b: pd.DataFrame, c: Tally) -> None:
+        c.add("\x01leak", Coded.of([s for t in b["text"] if t for s in sentences(t)]))
+
+    def own_text(b: pd.DataFrame, c: Tally) -> None:
+        for s, t in zip(b["subjects"], b["text"]):
+            c.add(s[0], Coded.of(sentences(t)))
 
-    zero = np.zeros((3, BUCKETS), dtype=np.int64)
-    background = gathered(docs.where(F.length("text") > 0).select("text"), 3, BUCKETS, all_text).get("", zero)
+    everything = cut(counted(docs.where(F.length("text") > 0).select("text"), all_text))
+    size = everything.where("kind = 0").agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
+    tokens, words = float(size["tokens"] or 0), size["words"]
+    background = everything.where((F.col("n") >= LEAST) & (F.col("n") >= tokens * RARE)).select("kind", "key", "n").toPandas()
     trains = sample.where(~F.col("calibrates"))
-    models = gathered(trains.where(F.size("subjects") == 1).select("text", "subjects"), 3, BUCKETS, own_text)
-    subjects = sorted(models)
+    models = counted(trains.where(F.size("subjects") == 1).select("text", "subjects"), own_text).toPandas()
+    subjects = sorted(set(models["name"]))
     if held_out_items is not None:
-        models |= {"\x01leak": c for c in gathered(held_out_items.select("text"), 3, BUCKETS, all_text).values()}
-    first = spark.sparkContext.broadcast(Models(background, models, subjects))
+        models = pd.concat([models, counted(held_out_items.where(F.length("text") > 0).select("text"), all_text).toPandas()])
+    first = spark.sparkContext.broadcast(Models(background, tokens, words, models, subjects))
 
-    def remarks(batches: Iterator[pd.DataFrame], c: Tables) -> None:
+    def remarks(b: pd.DataFrame, c: Tally) -> None:
         m = first.value
-        for b in batches:
-            for k, split, gains in _grouped(b, m):
-                own = set(b["subjects"].iloc[k])
-                foreign = [s for s, x in zip(split, m.speaking(gains, REMARK)) if x >= 0 and m.subjects[x] not in own]
-                add(c, "\x02remark", Coded.of(foreign))
+        for k, split, gains, lengths in _grouped(b, m):
+            own = set(b["subjects"].iloc[k])
+            c.add("\x02remark", Coded.of([s for s, x in zip(split, m.speaking(gains, lengths, REMARK)) if x >= 0 and m.subjects[x] not in own]))
 
-    models |= gathered(trains.select("text", "subjects"), 3, BUCKETS, remarks)
-    final = Models(background, models, subjects)
+    models = pd.concat([models, counted(trains.select("text", "subjects"), remarks).toPandas()])
+    final = Models(background, tokens, words, models, subjects)
     sent = spark.sparkContext.broadcast(final)
 
     def outcomes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
         for b in batches:
             rows = []
-            for k, _, gains in _grouped(b, m):
+            for k, _, gains, lengths in _grouped(b, m):
                 own = set(b["subjects"].iloc[k])
                 for g in LEADS:
-                    got = {m.subjects[x] for x in m.speaking(gains, g) if x >= 0}
-                    rows.append((g, len(got & own), len(got), len(own)))
-            yield pd.DataFrame(rows, columns=["g", "both", "got", "own"])
+                    for r in RATES:
+                        got = {m.subjects[x] for x in m.speaking(gains, lengths, g, r) if x >= 0}
+                        rows.append((g, r, len(got & own), len(got), len(own)))
+            yield pd.DataFrame(rows, columns=["g", "r", "both", "got", "own"])
 
-    measured = sample.where("calibrates").select("text", "subjects").mapInPandas(outcomes, "g double, both long, got long, own long").groupBy("g").agg(F.sum("both"), F.sum("got"), F.sum("own")).collect()
-    score = {r[0]: 2 * r[1] / max(1, r[2] + r[3]) for r in measured}
-    return final, max(LEADS, key=lambda g: (score.get(g, 0.0), g))
+    measured = sample.where("calibrates").select("text", "subjects").mapInPandas(outcomes, "g double, r double, both long, got long, own long").groupBy("g", "r").agg(F.sum("both").alias("both"), F.sum("got").alias("got"), F.sum("own").alias("own")).collect()
+    score = {(x["g"], x["r"]): 2 * x["both"] / max(1, x["got"] + x["own"]) for x in measured}
+    return final, max(((g, r) for g in LEADS for r in RATES), key=lambda x: (score.get(x, 0.0), x[0], -x[1]))
 
 
-def assign(docs: DataFrame, models: Models, least: float) -> DataFrame:
+def assign(docs: DataFrame, models: Models, least: tuple[float, float]) -> DataFrame:
     """doc_id, subject, sentences: the subjects that sentences of a document speak for, with their number. Every text is read whole; null, empty and blank texts have no subject; repeated rows each get theirs."""
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -227,8 +277,8 @@ def assign(docs: DataFrame, models: Models, least: float) -> DataFrame:
         m = sent.value
         for b in batches:
             rows = []
-            for k, _, gains in _grouped(b, m):
-                spoken = np.bincount(m.speaking(gains, least) + 1, minlength=len(m.subjects) + 1)[1:]
+            for k, _, gains, lengths in _grouped(b, m):
+                spoken = np.bincount(m.speaking(gains, lengths, *least) + 1, minlength=len(m.subjects) + 1)[1:]
                 rows += [(b["doc_id"].iloc[k], m.subjects[x], int(spoken[x])) for x in np.flatnonzero(spoken)]
             yield pd.DataFrame(rows, columns=["doc_id", "subject", "sentences"])
 
