@@ -45,14 +45,14 @@ RATES = (0.0, 0.05, 0.1, 0.2, 0.3, 0.45)
 
 WORD = re.compile(r"[^\W\d_]+")
 TORN = re.compile(r"(?<=\w)(?:-|­)[ \t]*\n\s*(?=[^\W\d_])|(?<=[^\W\d_])- +(?=[^\W\d_])|­")
-END = re.compile(r"(?<=[.!?…])\s+|\n\s*\n")
+END = re.compile(r"[.!?…]\s+|\n\s*\n")
 
 
 def sentences(text: str) -> list[list[str]]:
     """The words of each sentence in lower case; words that a line end tears apart are joined first."""
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
-    if "-" in text or "\xad" in text:
+    if "- " in text or "-\n" in text or "-\t" in text or "\xad" in text:
         text = TORN.sub("", text)
     return [w for s in END.split(text.lower()) if (w := WORD.findall(s))]
 
@@ -198,18 +198,21 @@ class Models:
         return np.where((best < n) & (among[:, -1] > -SHORT) & (lead >= least) & (lead >= rate * lengths), best, -1)
 
 
-def _grouped(b: pd.DataFrame, models: Models) -> Iterator[tuple[int, list[list[str]], np.ndarray, np.ndarray]]:
-    """Row, sentences, gains, lengths; many texts are measured at once."""
+def _grouped(b: pd.DataFrame, models: Models, *least: float) -> Iterator[tuple[int, list[list[str]], np.ndarray, np.ndarray]]:
+    """Row, sentences, gains (or, with `least`, the subjects that they speak for), lengths; many texts are measured at once."""
     held, size = [], 0
     for k, t in enumerate(b["text"]):
         s = sentences(t) if t else []
         held.append((k, s))
         size += sum(map(len, s))
         if size > 200_000 or k == len(b) - 1:
-            gains = models.gains(Coded.of([x for _, s in held for x in s]))
+            every = [x for _, s in held for x in s]
+            gains, lengths = models.gains(Coded.of(every)), np.fromiter(map(len, every), dtype=np.float32, count=len(every))
+            if least:
+                gains = models.speaking(gains, lengths, *least)
             at = 0
             for j, s in held:
-                yield j, s, gains[at : at + len(s)], np.array([len(x) for x in s], dtype=np.float32)
+                yield j, s, gains[at : at + len(s)], lengths[at : at + len(s)]
                 at += len(s)
             held, size = [], 0
 
@@ -244,9 +247,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out_items: DataFrame | None =
 
     def remarks(b: pd.DataFrame, c: Tally) -> None:
         m = first.value
-        for k, split, gains, lengths in _grouped(b, m):
+        for k, split, said, _ in _grouped(b, m, REMARK):
             own = set(b["subjects"].iloc[k])
-            c.add("\x02remark", Coded.of([s for s, x in zip(split, m.speaking(gains, lengths, REMARK)) if x >= 0 and m.subjects[x] not in own]))
+            c.add("\x02remark", Coded.of([s for s, x in zip(split, said) if x >= 0 and m.subjects[x] not in own]))
 
     models = pd.concat([models, counted(trains.select("text", "subjects"), remarks).toPandas()])
     final = Models(background, tokens, words, models, subjects)
@@ -277,8 +280,8 @@ def assign(docs: DataFrame, models: Models, least: tuple[float, float]) -> DataF
         m = sent.value
         for b in batches:
             rows = []
-            for k, _, gains, lengths in _grouped(b, m):
-                spoken = np.bincount(m.speaking(gains, lengths, *least) + 1, minlength=len(m.subjects) + 1)[1:]
+            for k, _, said, _ in _grouped(b, m, *least):
+                spoken = np.bincount(said + 1, minlength=len(m.subjects) + 1)[1:]
                 rows += [(b["doc_id"].iloc[k], m.subjects[x], int(spoken[x])) for x in np.flatnonzero(spoken)]
             yield pd.DataFrame(rows, columns=["doc_id", "subject", "sentences"])
 
