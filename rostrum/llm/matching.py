@@ -8,7 +8,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from ..plans import Registry
 from ..runtime import cut, held, join_hot
 from ..tables import load
-from .lists import state_entries, state_forms
+from .lists import MOST_ENTRIES, StateForms, state_entries
 from .names import all_names, bearers
 from .strings import unaccent, within
 
@@ -175,31 +174,23 @@ def name_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@lru_cache(maxsize=1 << 16)
-def _forms(typed: str) -> tuple:
-    return tuple(state_forms(typed))
-
-
-#: The list of states must stay under this, as every task holds it.
-MOST_STATES = 100_000
-
-
 def country_likeness(entries: DataFrame):
     """A function (ref_id, typed value) for the entries(value, ref_id) of a list of states: 1 if the value names the entry, nearly at least; 0 if it names another; null if it names none or says nothing."""
     known: dict[str, dict[int, set[str]]] = {}
     names: dict[int, set[tuple[str, str]]] = {}
-    rows = entries.limit(MOST_STATES + 1).collect()
-    if len(rows) > MOST_STATES:
-        raise ValueError(f"the list of states has more than {MOST_STATES} names")
+    rows = entries.limit(MOST_ENTRIES + 1).collect()
+    if len(rows) > MOST_ENTRIES:
+        raise ValueError(f"the list of states has more than {MOST_ENTRIES} names")
+    forms_of = StateForms((r["ref_id"], r["value"]) for r in rows)
     for r in rows:
-        for core, marks, kinds in state_forms(r["value"]):
+        for core, marks, kinds in forms_of(r["value"]):
             known.setdefault(core, {}).setdefault(r["ref_id"], set()).add(" ".join(kinds))
             names.setdefault(r["ref_id"], set()).add((core, marks))
 
     def likeness(ids: pd.Series, typed: pd.Series) -> pd.Series:
         out = []
         for i, t in zip(ids, typed):
-            forms = _forms(t) if t and i == i and i is not None else ()
+            forms = forms_of(t) if t and i == i and i is not None else []
             if not forms:
                 out.append(None)
                 continue

@@ -68,11 +68,6 @@ def many(part: Match, name: str = "", least: int = 0) -> Match:
     return match
 
 
-def later(get: Callable[[], Match]) -> Match:
-    """A matcher that is defined later; for grammars that hold themselves."""
-    return lambda s, i: get()(s, i)
-
-
 def find(node: Node, name: str) -> Node | None:
     """The first node of this name in the tree, the node itself included."""
     if node[0] == name:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..plans import Registry
 from ..tables import load
-from .peg import alt, find, later, many, opt, rx, seq, text_of
+from .peg import alt, find, many, opt, rx, seq, text_of
 from .strings import unaccent, within
 
 query = Registry()
@@ -23,15 +24,35 @@ OFFICES = r"(?:Acting President|Vice-President|President|Chairperson|Chairman|Ch
 PARTICLES = r"(?:van|von|de|da|di|del|der|den|la|le|el|al|bin|ibn|st)"
 FILLERS = r"(?:u+h+|u+m+|e+r+m*|a+h+|e+h+|h+m+|mm+)(?:\.\.\.|…|,|\s+[—–-](?=\s))?|(?:you know|I mean),"
 
+#: Brackets of annotations.
+CLOSES = {"[": "]", "(": ")", "{": "}", "<": ">"}
+
+
+@lru_cache(maxsize=64)
+def brackets(s: str) -> dict[int, int]:
+    """Where the annotation ends that opens at a place. Annotations nest within a line, to any depth, and aren't empty; a bracket that doesn't close, or holds one that doesn't, is ordinary text."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    for i, c in enumerate(s):
+        if c in "[({<":
+            open_.append(i)
+        elif c == "\n":
+            open_.clear()
+        elif c in "])}>":
+            if open_ and CLOSES[s[open_[-1]]] == c and i > open_[-1] + 1:
+                out[open_.pop()] = i + 1
+            else:
+                open_.clear()
+    return out
+
+
+def nested(s: str, i: int):
+    """A whole annotation in brackets."""
+    return (("sound", s[i:end]), end) if s[i : i + 1] in CLOSES and (end := brackets(s).get(i)) is not None else None
+
+
 # Grammar. Annotations nest; a bracket that never closes is ordinary text.
-_inner = lambda opening, closing: many(alt(later(lambda: annotation), rx(rf"[^\[\](){{}}<>\n{re.escape(opening + closing)}]+")), least=1)
-annotation = alt(
-    seq(rx(r"\["), _inner("[", "]"), rx(r"\]"), name="sound"),
-    seq(rx(r"\("), _inner("(", ")"), rx(r"\)"), name="sound"),
-    seq(rx(r"\{"), _inner("{", "}"), rx(r"\}"), name="sound"),
-    seq(rx(r"<"), _inner("<", ">"), rx(r">"), name="sound"),
-    rx(r"\*[^*\n]{1,60}\*|♪", "sound"),
-)
+annotation = alt(nested, rx(r"\*[^*\n]{1,60}\*|♪", "sound"))
 space = rx(r"[ \t\xa0]*")
 clock = alt(rx(r"\d{1,3}:[0-5]\d(?::[0-5]\d)?(?:[.,]\d{1,3})?(?!\d)", "clock"), rx(r"T?\+?\d+(?:\.\d+)?\s?s(?:ec)?\b", "clock"))
 time = seq(alt(seq(rx(r"[\[(<]"), space, clock, space, rx(r"[\])>]")), clock), opt(rx(r"[ \t]*\|")))
@@ -181,16 +202,20 @@ def utterances(text: str) -> list[Said]:
     return [s for _, _, s in sorted(keyed, key=lambda x: x[:2])]
 
 
+MAY_OPEN = re.compile(r"[\[({<*♪]")
+
+
 def clean(text: str) -> str:
     """Without sounds, fillers and words said twice."""
-    out, i = [], 0
-    while i < len(text):
-        if text[i] in "[({<*♪" and (r := annotation(text, i)) is not None and not re.search(r"\d:\d", text_of(r[0])):
-            i = r[1]
-            continue
-        j = next((k for k in range(i + 1, len(text)) if text[k] in "[({<*♪"), len(text))
-        out.append(text[i:j])
-        i = j
+    out, at, i = [], 0, 0
+    while (m := MAY_OPEN.search(text, i)) is not None:
+        i = m.start()
+        if (r := annotation(text, i)) is not None and not re.search(r"\d:\d", text_of(r[0])):
+            out.append(text[at:i])
+            at = i = r[1]
+        else:
+            i += 1
+    out.append(text[at:])
     return re.sub(r"\s+", " ", TWICE.sub(r"\1", FILLER.sub("", "".join(out)))).strip()
 
 

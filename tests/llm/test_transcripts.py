@@ -48,6 +48,16 @@ def test_president_is_the_row_s_speaker():
     assert numbers(text, "The President", "President") == [1, 2, 3]
 
 
+def test_brackets_nest_to_any_depth_and_unclosed_ones_are_text():
+    for text in ("(" * 10_000 + "a", "([{<" * 3000 + ">}])" * 2999, "[(" * 3000 + ")" * 3000, "♪" * 5000):
+        for t in (text, f"Mr. Baro: One {text}\nMs. Rado: Two."):
+            assert len(turns(t)) in (0, 2)
+    assert clean("a (loud [very <so>] noise) b") == "a b" and clean("(" * 10_000 + "x" + ")" * 10_000) == ""
+    for t in ("c (unclosed d", "a () b", "a (b] c) d", "a (b\nc) d"):
+        assert clean(t) == " ".join(t.split())
+    assert clean("a (b [c) d (e) f") == "a (b [c) d f"
+
+
 def test_frame(spark):
     rows = [(1, "Mr. Baro: One.\nMs. Rado: Two.", "A. Baro", None, "clash"), (2, None, None, None, "clash"), (3, "", None, None, None), (1, "Mr. Baro: One.\nMs. Rado: Two.", "A. Baro", None, "clash")]
     df = spark.createDataFrame(rows, "id long, text string, name string, role string, words string")
