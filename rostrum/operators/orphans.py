@@ -51,7 +51,7 @@ def direct_orphans(tables: dict[str, Table], reference: Reference) -> DataFrame:
     if reference.or_name is not None:
         ref = F.coalesce(ref, reference.or_name)
     came = F.col(child.came) if child.came else F.lit(None).cast("timestamp_ntz")
-    refs = child.df.select(F.col(child.key).alias("ref_id"), came.alias("came"), ref.alias("ref")).where(F.col("ref").isNotNull())
+    refs = cut(child.df.select(F.col(child.key).alias("ref_id"), came.alias("came"), ref.alias("ref")).where(F.col("ref").isNotNull()))  # read three times
     found = join_hot(refs, targets(parent), "ref")
     kind = F.when(F.col("any_alive").isNull(), "missing").when(~F.col("any_alive"), "deleted").when(F.col("live_from") > F.col("came"), "late")
     return found.select("ref_id", "came", kind.alias("kind")).where(F.col("kind").isNotNull())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.symbols import canonical_sql, canonical_symbol
-from ..operators.orphans import Reference, Table, cascade, direct_orphans
+from ..operators.orphans import Reference, Table, cascade
 from ..tables import load
 from . import Registry
 
@@ -50,8 +50,8 @@ _FOUND = """found as (
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """References to resolutions that are missing, deleted or late: ref_table, ref_id, kind."""
     tables, references = graph(spark, sf)
-    found = [direct_orphans(tables, r).select(F.lit(r.child).alias("ref_table"), "ref_id", "kind") for r in references if r.or_name is not None]
-    return found[0].unionByName(found[1])
+    found = cascade(tables, [r for r in references if r.or_name is not None])  # the part of the graph that is asked for
+    return found.where(F.col("level") == 0).select("ref_table", "ref_id", "kind")
 
 
 @query(

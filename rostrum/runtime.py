@@ -12,11 +12,13 @@ HOT_SHARE = 1 / 64
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or (only where that is unset, as in tests) one made here."""
+    """The folder that all executors share: spark.checkpoint.dir. Only in local mode, where executors are threads of the driver, one is made here if that is unset; a cluster needs the setting."""
     sc = spark.sparkContext
     if (known := sc.getCheckpointDir()) is not None:
         return known
     if not (folder := spark.conf.get("spark.checkpoint.dir", None)):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rostrum-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder
@@ -42,7 +44,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = HOT_SHARE) -> DataFrame:
-    """Equi-join where some keys may hold a third of `left`; `right` has one row for each key.
+    """Equi-join where some keys may hold a third of `left`; `right` must have one row for each key (aggregate it by the key first). `left` is read three times: cut it before, where it is more than a scan.
 
     Rows of hot keys meet the few right rows of these keys (fewer than 1 / share) by broadcast and are not shuffled; all others take part in the usual join. No row is dropped or sampled.
     """
