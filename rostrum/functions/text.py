@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words that stay in lower case in titles.
-SMALL_WORDS = ("a", "an", "and", "as", "at", "but", "by", "for", "in", "nor", "of", "on", "or", "so", "the", "to", "up", "yet", "with", "from")
+# Words that stay in lower case in titles; numbers, ordinals and months in words.
+SMALL_WORDS = ("a", "an", "the", "of", "for", "in", "on", "at", "by", "to", "and", "or", "nor", "but", "as", "with", "from")
 UNITS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen")
 ORDINALS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth", "thirteenth", "fourteenth", "fifteenth", "sixteenth", "seventeenth", "eighteenth", "nineteenth")
 TENS = ("twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety")
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where the value is computed once however often `use` names it (inside lambdas nothing else shares it)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed, null where nothing is left."""
     return F.nullif(F.trim(c), F.lit(""))
@@ -41,12 +48,12 @@ def normalize_allcaps(c: Column) -> Column:
 
 
 def repair_hyphenation(c: Column) -> Column:
-    """Joins a word divided at a hyphen before white space and a small letter."""
+    """Joins a word divided at a hyphen before white space and a small letter (fixed value: the pattern)."""
     return F.regexp_replace(c, r"([A-Za-z])-[ \t\n]+([a-z])", "$1$2")
 
 
 def strip_print_codes(c: Column) -> Column:
-    """Without job numbers of the printer, and with two line ends at most."""
+    """Without job numbers of the printer (fixed value: their form), and with two line ends at most."""
     return F.regexp_replace(F.regexp_replace(c, r"\b\d{2}-\d{5}(?:\s*\([A-Z]\))?", ""), r"\n{3,}", "\n\n")
 
 
@@ -142,35 +149,71 @@ def normalise_name(c: Column) -> Column:
     return F.when(F.instr(s, ",") > 0, F.trim(F.concat_ws(" ", F.trim(F.regexp_extract(s, r",\s*(.*)$", 1)), F.trim(F.regexp_extract(s, r"^([^,]*)", 1))))).otherwise(s)
 
 
+#: Longer parts of a list are text, no names.
+NAME_CHARS = 80
+
+
+def _names(parts: Column) -> Column:
+    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: (p != "") & (F.lower(p) != "none") & (F.length(p) <= NAME_CHARS))
+
+
 def country_list(c: Column) -> Column:
-    """Names of a list, without the full stop at its end; `None` and an empty list give none; the last `and` parts too; parts over 80 characters are text, no names."""
+    """The names of a list of states. Without commas, `and` parts two names; with commas, only the last of several `and` in a part does, as names hold one themselves. `None` and an empty list give none; parts over NAME_CHARS characters are text."""
+    s = F.regexp_replace(F.trim(F.regexp_replace(c, r"\s+", " ")), r"\.+$", "")
+    last = lambda p: F.split(F.regexp_replace(p, r"(?i)^(.*\sand\s.*)\sand\s(.*)$", "$1\n$2"), "\n")
+    parts = lambda x: F.when(F.instr(x, ",") > 0, F.flatten(F.transform(F.split(x, r"\s*,\s*"), last))).otherwise(F.split(x, r"\s+and\s+"))
+    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(let(s, lambda x: _names(parts(x))))
+
+
+def sponsor_list(c: Column) -> Column:
+    """The names of a list of sponsors, which commas and `and` part; what ends the sentence goes."""
     s = F.regexp_replace(F.trim(c), r"[\s.;]+$", "")
-    parts = F.when(F.instr(s, ",") > 0, F.split(s, ",")).otherwise(F.split(s, r"\s+and\s+"))
-    split = F.flatten(F.transform(parts, lambda p, i: F.when((i == F.size(parts) - 1) & (F.instr(s, ",") > 0), F.split(F.regexp_replace(p, r"^\s*and\s+", ""), r"\s+and\s+")).otherwise(F.array(p))))
-    trimmed = F.transform(split, lambda p: F.trim(p))
-    return F.when(s.isNull() | (F.lower(s) == "none"), F.array().cast("array<string>")).otherwise(F.filter(trimmed, lambda p: (p != "") & (F.length(p) <= 80)))
+    return F.when(s.isNull(), F.array().cast("array<string>")).otherwise(_names(F.split(s, r"\s*,\s*(?:and\s+)?|\s+and\s+")))
 
 
-COUNT = r"(\d+|none|" + "|".join(UNITS) + ")"
+COUNT = r"(\d+|none|zero|" + "|".join(UNITS) + ")"
 
 
 def vote_count(c: Column) -> Column:
     """A count in figures or words."""
-    table = F.create_map(*(F.lit(x) for kv in ({"none": 0} | {w: k for k, w in enumerate(UNITS, 1)}).items() for x in kv))
+    table = F.create_map(*(F.lit(x) for kv in ({"none": 0, "zero": 0} | {w: k for k, w in enumerate(UNITS, 1)}).items() for x in kv))
     return F.coalesce(F.expr("try_cast(null as int)"), F.try_element_at(table, F.lower(c)), F.when(c.rlike(r"^\d{1,6}$"), c.cast("int")))
 
 
+# How totals are announced, in the order in which they are sought.
+TOTALS = (
+    rf"(?i)\bby\s+{COUNT}\s+(?:votes?\s+)?(?:in\s+favour\s+)?to\s+{COUNT}\b(?:\s+against)?(?:,?\s+with\s+{COUNT}\s+abstentions?)?",
+    rf"(?i)\b{COUNT}\s+(?:votes?\s+)?in\s+favour,?\s+to\s+{COUNT}\s+against(?:,?\s+with\s+{COUNT}\s+abstentions?)?",
+    rf"(?i)\b{COUNT}\s+votes?\s+in\s+favour,?\s+{COUNT}\s+against(?:,?\s*(?:and\s*)?{COUNT}\s+abstentions?)?",
+)
+
+
 def vote_totals(c: Column) -> Column:
-    """Yes, no and abstentions; no abstentions where none are named, all null where nothing is counted."""
-    shapes = (
-        rf"(?i)by {COUNT} votes? to {COUNT},? with {COUNT} abstentions?",
-        rf"(?i){COUNT} votes? in favour,? to {COUNT} against,? with {COUNT} abstentions?",
-        rf"(?i){COUNT} votes? in favour,? {COUNT} against,? (?:and )?{COUNT} abstentions?",
-        rf"(?i)by {COUNT}(?: votes?)? to {COUNT}()\b",
-    )
-    got = [F.coalesce(*(vote_count(extracted(c, p, k)) for p in shapes)) for k in (1, 2)]
-    third = F.coalesce(*(vote_count(extracted(c, p, 3)) for p in shapes[:3]))
-    return F.struct(got[0].alias("yes"), got[1].alias("no"), F.when(got[0].isNotNull(), F.coalesce(third, F.lit(0))).alias("abstain"))
+    """Yes, no and abstentions of the first form that fits; no abstentions where none are named, all null where nothing is counted."""
+    found = F.coalesce(*(F.when(c.rlike(p), F.array(*(F.regexp_extract(c, p, k) for k in (1, 2, 3)))) for p in TOTALS))
+    n = let(found, lambda x: F.transform(x, vote_count))
+    return let(n, lambda x: F.struct(F.get(x, F.lit(0)).alias("yes"), F.get(x, F.lit(1)).alias("no"), F.when(F.get(x, F.lit(0)).isNotNull(), F.coalesce(F.get(x, F.lit(2)), F.lit(0))).alias("abstain")))
+
+
+# Headings of the lists of states, and what ends a list.
+POSITIONS = {"yes": r"In\s+favour", "no": "Against", "abstain": "Abstaining"}
+LIST_END = r"\n\s*(?:In\s+favour|Against|Abstaining|Draft\s+res|The\s+draft|The\s+amend|was\s+adopted|\[)"
+LIST_HEADING = rf"(?:{'|'.join(POSITIONS.values())})\s*:"
+
+
+def country_votes(c: Column) -> Column:
+    """(country, position) of each state in the lists `In favour:`, `Against:` and `Abstaining:` of a text. Lists stand before the adoption or after it; if there are some before, those after it belong to another vote. A state counts once, with its first position."""
+    before, after = F.regexp_extract(c, r"(?is)^(.*?)was\s+adopted", 1), F.regexp_extract(c, r"(?is)was\s+adopted(.*)$", 1)
+    region = F.when(~c.rlike(r"(?i)was\s+adopted"), c).when(before.rlike(rf"(?i)(?:^|\n)\s*{LIST_HEADING}"), before).otherwise(after)
+
+    def listed(text: Column, position: str, heading: str) -> Column:
+        names = country_list(extracted(text, rf"(?is)(?:^|\n)\s*{heading}\s*:\s*(.*?)(?={LIST_END}|$(?!\n))", 1))
+        return F.transform(names, lambda x: F.struct(x.alias("country"), F.lit(position).alias("position")))
+
+    every = let(region, lambda r: F.concat(*(listed(r, *x) for x in POSITIONS.items())))
+    names = lambda votes: F.transform(votes, lambda v: F.lower(v["country"]))
+    once = let(every, lambda e: let(names(e), lambda n: F.filter(e, lambda v, i: F.array_position(n, F.lower(v["country"])) == i + 1)))
+    return F.coalesce(once, F.array().cast("array<struct<country:string,position:string>>"))
 
 
 def repair_draft_symbol(c: Column) -> Column:
@@ -181,33 +224,52 @@ def repair_draft_symbol(c: Column) -> Column:
     return F.regexp_replace(F.trim(s), r"[\s.,;:)]+$", "")
 
 
-ROMAN = "[IVXLC]+(?: [A-Z])?"
+ROMAN = "[IVXLCDM]+(?: [A-Z])?"
 
 
 def adoption(c: Column) -> Column:
-    """The draft and the number of `Draft resolution A/64/L.72 was adopted (resolution 64/299).`"""
-    draft = extracted(c, rf"(?i:draft resolution|draft decision|amendment)\s+\(?([AS]/[A-Z0-9./]*\d|{ROMAN})\)?[^.]{{0,80}}? (?:was|were) adopted")
-    return F.struct(repair_draft_symbol(draft).alias("draft"), extracted(c, r"(?i)\(resolution (\d+/\d+|\d+ \(\d{4}\))\)").alias("adopted"))
+    """The draft that a line says was adopted (null if it doesn't name it) and the number it got; both null where nothing was adopted. Six forms: `Draft resolution A/64/L.72 was adopted (resolution 64/299)`, a Roman numeral instead, an amendment, `The draft decision was adopted`, `Draft resolution was adopted by 113 votes ... (resolution 75/1)`, `The draft resolution has been adopted as resolution 2448 (2018)`."""
+    draft = extracted(c, rf"(?i:draft\s+(?:resolution|decision)|the\s+amendment)\s+\(?((?i:[AS]/[^\s()]+?)|{ROMAN})\)?(?:,\s*as\s+orally\s+corrected,)?\s+(?i:was\s+adopted)")
+    number = F.coalesce(extracted(c, r"(?is)was\s+adopted.*?\((?:resolution|decision)\s+([^\s()]+(?:\s\(\d{4}\))?)\)"), extracted(c, r"(?i)has\s+been\s+adopted\s+as\s+(?:resolution|decision)\s+(\d+\s*\(\d{4}\))"))
+    return F.struct(repair_draft_symbol(draft).alias("draft"), F.when(is_adoption(c), number).alias("adopted"))
+
+
+def is_adoption(c: Column) -> Column:
+    """Whether a draft or an amendment was adopted."""
+    return c.rlike(rf"(?i:draft\s+(?:resolution|decision))(?:\s+(?:(?i:[AS]/\S+)|{ROMAN})(?:,\s*as\s+orally\s+corrected,)?)?\s+(?i:was\s+adopted|has\s+been\s+adopted)|(?i:the\s+amendment\s+\(\S+\)\s+was\s+adopted)")
+
+
+QUOTED = r"entitled\s+[\"'“‘](.+?)[\"'“‘”’]"
+
 
+def entitled(c: Column, symbol: Column | None = None) -> Column:
+    """The title in quotation marks that is announced for the draft `symbol`, whose end may stand alone; without one, the last title."""
+    last = F.try_element_at(F.regexp_extract_all(c, F.lit(rf"(?is){QUOTED}"), F.lit(1)), F.lit(-1))
+    if symbol is None:
+        return F.trim(last)
+    p = rf"(?is)draft\s+(?:resolution|decision)\s+(\S+?),?\s+(?:is\s+)?{QUOTED}"
+    found = F.arrays_zip(F.regexp_extract_all(c, F.lit(p), F.lit(1)).alias("symbol"), F.regexp_extract_all(c, F.lit(p), F.lit(2)).alias("title"))
+    own = F.upper(symbol)
+    same = F.filter(found, lambda x: F.upper(x["symbol"]).endswith(own) | own.endswith(F.upper(x["symbol"])))
+    return F.trim(F.coalesce(F.try_element_at(same, F.lit(1))["title"], last))
 
-def entitled(c: Column) -> Column:
-    """The last title in quotation marks after `entitled`."""
-    return F.try_element_at(F.regexp_extract_all(c, F.lit(r"entitled [\"“']([^\"”']+)[\"”']"), F.lit(1)), F.lit(-1))
+
+# What stage directions say, in the order in which they are sought.
+DIRECTIONS = {
+    "adoption": r"(?i)draft\s+(?:resolution|decision)\b.*was\s+adopted|the\s+amendment\s+\([^)]+\)\s+was\s+adopted",
+    "decision": r"It was so decided|(?i:the\s+decision\s+was\s+adopted)",
+    "suspension": r"(?i)meeting\s+was\s+suspended",
+    "resumption": r"(?i)meeting\s+(?:was\s+)?resumed",
+    "adjournment": r"(?i)meeting\s+rose",
+    "silence": r"(?i)minute\s+of\s+silence",
+    "language_note": r"(?i)^\s*\(spoke\s+in\s+\w+\)\s*$",
+}
 
 
 def stage_direction(c: Column) -> Column:
-    """Eight kinds, the first that fits."""
-    kinds = {
-        "adoption": r"(?i)\b(?:was|were) adopted\b",
-        "decision": r"(?i)it was so decided|\bdecided\b",
-        "suspension": r"(?i)meeting was suspended",
-        "resumption": r"(?i)meeting (?:was )?resumed",
-        "adjournment": r"(?i)meeting rose|was adjourned",
-        "silence": r"(?i)minute of silence",
-        "language_note": r"(?i)^\s*\(?spoke in |interpretation",
-    }
+    """Eight kinds, the first that fits."""
     out = F.when(c.isNull(), F.lit(None).cast("string"))
-    for k, p in kinds.items():
+    for k, p in DIRECTIONS.items():
         out = out.when(c.rlike(p), k)
     return out.otherwise("other")
 
@@ -237,9 +299,26 @@ def sentences(c: Column) -> Column:
 
 
 def cosponsors(sentence: Column) -> Column:
-    """The names after `co-sponsors`, unless the sentence withdraws them."""
+    """The names after `co-sponsors`, unless the sentence withdraws them."""
     listed = extracted(sentence, r"(?i)co-?\s?sponsors?(?:hip)?(?: of [A-Z0-9./]+)?(?: are| were|:| by|, namely,?) (.+?)[.;]?$")
-    return F.when(sentence.rlike(r"(?i)\b(?:not|withdr[ae]w|no longer)\b"), F.array().cast("array<string>")).otherwise(F.coalesce(country_list(listed), F.array().cast("array<string>")))
+    return F.when(sentence.rlike(r"(?i)\b(?:not|withdr[ae]w|no longer)\b"), F.array().cast("array<string>")).otherwise(F.coalesce(sponsor_list(listed), F.array().cast("array<string>")))
+
+
+# What is sponsored but is no draft, and the form of symbols.
+NO_DRAFT = r"(?i)co[- ]?sponsor\s+of\s+(?:the\s+)?(?:peace\s+process|initiative|efforts?|talks?|negotiations?|meeting|conference|summit)\b"
+SYMBOL = r"[A-Z][A-Z0-9/.\-]*[A-Z0-9]"
+
+
+def sponsorship(sentence: Column) -> Column:
+    """What a sentence says of co-sponsoring: kind `list` (states and a draft), `symbol` or `parenthesis` (the speaker sponsors this draft), `implicit` (the draft isn't named: that of the item, if it has one only), with symbol and countries; null where it says nothing of it."""
+    said = rf"(?i)following\s+(?:\w+\s+)?(?:countries|delegations|states|members)\s+(?:are\s+now|also\s+become|have\s+become|are|were)?\s*co[- ]?sponsors?\s+of\s+(?:draft\s+)?resolution\s+({SYMBOL})\s*[:\-]?\s*(.+?)[.;]?$"
+    named = rf"(?i)co[- ]?sponsor(?:s|ed|ing)?\b(?:\s+\w+){{0,6}}?\s+(?:draft\s+)?resolution\s+({SYMBOL})"
+    bracketed = rf"(?i)co[- ]?sponsor(?:s|ed|ing)?\b.{{0,120}}?\(({SYMBOL})\)"
+    a, b, c = (extracted(sentence, p, 1) for p in (said, named, bracketed))
+    kind = F.when(a.isNotNull(), "list").when(b.contains("/"), "symbol").when(c.contains("/"), "parenthesis").otherwise("implicit")
+    states = F.when(a.isNotNull(), sponsor_list(extracted(sentence, said, 2))).otherwise(F.array().cast("array<string>"))
+    symbol = F.upper(F.coalesce(a, F.when(b.contains("/"), b), F.when(c.contains("/"), c)))
+    return F.when(sentence.rlike(r"(?i)\bco[- ]?sponsor") & ~sentence.rlike(NO_DRAFT), F.struct(kind.alias("kind"), symbol.alias("symbol"), states.alias("countries")))
 
 
 def speaker_info(c: Column) -> Column:
@@ -254,9 +333,13 @@ def speaker_info(c: Column) -> Column:
     return F.when(extracted(c, office, 1).isNotNull(), presiding).when(extracted(c, label, 2).isNotNull(), named)
 
 
+# Fixed value: how a group is named.
+ON_BEHALF = r"(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)"
+
+
 def on_behalf_of(c: Column) -> Column:
-    """Of the first 500 characters."""
-    return extracted(F.substring(c, 1, 500), r"(?i:on behalf of) ((?:the )?[A-Z][^.,;:]*)")
+    """Whom the first 500 characters speak for, without the article."""
+    return F.trim(extracted(F.substring(c, 1, 500), ON_BEHALF))
 
 
 def agenda_header(c: Column) -> Column:

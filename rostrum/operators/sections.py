@@ -1,8 +1,7 @@
-"""Segmentation of a meeting's text: paragraphs to typed sections (windows), sections to items with speeches, directions and resolutions (one task a document)."""
+"""Segmentation of a meeting's text: paragraphs to typed sections, sections to items with speeches, directions, resolutions and ballots; all by windows over a document."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -59,63 +58,90 @@ def kind(text: str = "text", bold: str = "bold_start", italic: str = "all_italic
 
 
 def sectionise(blocks: DataFrame, doc: str = "doc", seq: str = "seq") -> DataFrame:
-    """Doc, section_id, kind, text, position. Blocks before the first that isn't a continuation are the cover. Stage directions stand alone; others take in the continuations after them. blocks(doc, seq, text, bold_start, all_italic); a null document belongs to none."""
+    """Doc, section_id, kind, text, lines (the text with its blocks as lines), position. Blocks before the first that isn't a continuation are the cover. Stage directions stand alone; others take in the continuations after them. blocks(doc, seq, text, bold_start, all_italic); a null document belongs to none."""
     w = W.partitionBy(doc).orderBy(seq)
     k = blocks.where(F.col(doc).isNotNull()).withColumn("kind", kind()).withColumn("_last", F.lag("kind").over(w))
     starts = F.col("kind").isin("agenda", "draft", "speaker", "stage") | (F.col("_last") == "stage") | F.col("_last").isNull()
     k = k.withColumn("section_id", F.sum(starts.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)) - 1)
     k = k.withColumn("_seen", F.max((F.col("kind") != "continuation").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
     parts = F.sort_array(F.collect_list(F.struct(seq, "text")))
-    out = k.groupBy(doc, "section_id").agg(F.min_by("kind", seq).alias("kind"), F.max("_seen").alias("_seen"), F.array_join(F.filter(F.transform(parts, lambda p: F.trim(p["text"])), lambda x: x != ""), " ").alias("text"), F.min(seq).alias("position"))
+    out = k.groupBy(doc, "section_id").agg(F.min_by("kind", seq).alias("kind"), F.max("_seen").alias("_seen"), F.filter(F.transform(parts, lambda p: F.trim(p["text"])), lambda x: x != "").alias("_lines"), F.min(seq).alias("position"))
+    out = out.select(doc, "section_id", "kind", "_seen", F.array_join("_lines", " ").alias("text"), F.array_join("_lines", "\n").alias("lines"), "position")
     return out.withColumn("kind", F.when(F.col("_seen") == 0, "cover").when(F.col("kind") == "continuation", "text").otherwise(F.col("kind"))).drop("_seen")
 
 
-ELEMENT = "item int, element string, position_in_item int, position_in_document int, title string, speaker string, text string, draft_symbol string"
+#: How many sections after an adoption may hold its lists and totals.
+FOLLOWING = 80
+#: How many speeches back a draft may have been named that is adopted without its symbol.
+SPEECHES = 5
 
 
 def items(sections: DataFrame, doc: str = "doc") -> DataFrame:
-    """The elements of each document in order: item headings, speeches, directions and resolutions, with the item that they belong to and their places.
+    """The elements of each document in order: item headings, speeches, directions and resolutions: doc, item, element, position_in_item, position_in_document, title, speaker, text, draft_symbol, adopted_symbol, vote_type, yes, no, abstain, votes.
 
-    Text without a label goes on with the last speech of its item. A draft's symbol is remembered within its item until a direction adopts it; the same draft is a resolution once for each item. One task holds one document's sections.
+    Speeches, directions and resolutions count up within their item; speeches and directions within the document. Text without a label goes on with the last speech of its item, or opens one. A line that says that a draft was adopted makes a resolution, wherever it stands; the draft is the one that it names, or that of the last draft heading of the item, or (in a speech) the first that one of the last SPEECHES speeches names. The same draft is a resolution once for each item. Its lists of states stand between `A recorded vote was taken` and the adoption, or in the section before it, or after it up to the next speaker or vote; a vote is recorded if it was announced as such or counted. sections(doc, section_id, kind, text, lines) are those of sectionise; a document's cover has no elements.
     """
-    kind_of = sections.schema[doc].dataType.simpleString()
-    info = sections.select(doc, "section_id", "kind", "text", t.split_attribution(F.col("text")).alias("split"), t.adoption(F.col("text")).alias("adopted"), t.extracted(F.col("text"), r"\(?([AS]/[A-Z0-9./]*\d)\)?").alias("symbol"))
-    flat = info.select(doc, "section_id", "kind", "text", F.col("split.attribution").alias("attribution"), F.col("split.body").alias("body"), F.col("adopted.draft").alias("draft"), "symbol")
-
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[dict] = []
-        item, within, header, title = 0, 0, None, ""
-        done: set[str] = set()
-
-        def add(element: str, **values) -> None:
-            nonlocal within
-            out.append({"item": item, "element": element, "position_in_item": within, "position_in_document": len(out), "title": title, "speaker": None, "text": None, "draft_symbol": None} | values)
-            within += 1
-
-        for s in pdf.sort_values("section_id").itertuples():
-            if s.kind == "cover":
-                continue
-            if s.kind == "agenda":
-                item, within, header, title, done = item + 1, 0, None, s.text, set()
-                add("item")
-            elif s.kind == "draft":
-                header = s.symbol or header
-            elif s.kind == "speaker":
-                add("speech", speaker=s.attribution, text=s.body)
-            elif s.kind == "stage":
-                add("direction", text=s.text)
-                draft = s.draft or (header if "adopted" in s.text.lower() else None)
-                if draft and draft not in done:
-                    done.add(draft)
-                    add("resolution", draft_symbol=draft)
-                    header = None
-            else:
-                speech = next((e for e in reversed(out) if e["element"] == "speech" and e["item"] == item), None)
-                if speech is None:
-                    add("speech", text=s.text)
-                else:
-                    speech["text"] = f"{speech['text'] or ''}\n\n{s.text}".strip()
-        cols = [c.split()[0] for c in ELEMENT.split(", ")]
-        return pd.DataFrame(out, columns=cols).assign(**{doc: pdf[doc].iloc[0]})[[doc, *cols]]
-
-    return flat.groupBy(doc).applyInPandas(group, f"{doc} {kind_of}, {ELEMENT}")
+    c, kind = F.col("text"), F.col("kind")
+    rows = sections.where(kind != "cover").select(doc, "section_id", "kind", "text", "lines", t.split_attribution(c).alias("split"))
+    w = W.partitionBy(doc).orderBy("section_id")
+    past, own = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(W.unboundedPreceding, 0)
+    count = lambda x, over: F.coalesce(F.sum(F.when(x, 1)).over(over), F.lit(0)).cast("int")
+    agenda, speaker, stage, draft = (kind == k for k in ("agenda", "speaker", "stage", "draft"))
+    adopts = t.is_adoption(c) & (agenda | speaker | stage | draft)
+    signal = stage & c.rlike(r"(?i)vote\s+was\s+taken")
+    # a vote is open from its announcement to the adoption or the next speaker
+    opened = F.last(F.when(signal, F.col("section_id")).when(agenda | speaker | (stage & adopts), -1), ignorenulls=True).over(past)
+    ballot = (F.coalesce(opened, F.lit(-1)) >= 0) & ((kind == "text") | (stage & c.rlike(rf"(?i)^\s*{t.LIST_HEADING}")))
+    rows = rows.select("*", count(agenda, own).alias("item"), count(agenda | speaker, own).alias("turn"), adopts.alias("adopts"), signal.alias("signal"), F.coalesce(opened, F.lit(-1)).alias("opened"), ballot.alias("ballot"), F.lag("lines").over(w).alias("before"))
+
+    wi = W.partitionBy(doc, "item").orderBy("section_id").rowsBetween(W.unboundedPreceding, 0)
+    words = (kind == "text") & ~F.col("ballot")
+    spoken = speaker | (words & (count(speaker | words, wi) == 1))
+    rows = rows.withColumn("spoken", spoken)
+    symbol = lambda x: t.repair_draft_symbol(t.extracted(x, r"(?i)([AS]/(?:[^)\s,]|,(?=\d))+)"))
+    rows = rows.withColumn("speech", count(F.col("spoken"), wi)).withColumn("header", F.last(F.when(draft, symbol(c)), ignorenulls=True).over(wi)).withColumn("titled", F.first(F.when(agenda, c), ignorenulls=True).over(wi))
+    lately = W.partitionBy(doc, "item").orderBy("speech").rangeBetween(1 - SPEECHES, 0)  # only a speech's own row has a symbol, so ties don't matter
+    rows = rows.withColumn("named", F.first(F.when(F.col("spoken"), symbol(c)), ignorenulls=True).over(lately))
+    whole = F.collect_list(F.when(F.col("spoken") | words, F.struct("section_id", F.when(speaker, F.col("split.body")).otherwise(c).alias("x")))).over(W.partitionBy(doc, "item", "speech"))
+    rows = rows.withColumn("said", F.array_join(F.filter(F.transform(F.sort_array(whole), lambda x: F.trim(x["x"])), lambda x: x != ""), " "))
+
+    null = lambda kind_of="string": F.lit(None).cast(kind_of)
+    element = lambda name, rank, **x: F.struct(F.lit(name).alias("element"), F.lit(rank).alias("rank"), x.get("speaker", null()).alias("speaker"), x.get("text", null()).alias("text"), x.get("draft", null()).alias("draft"))
+    drafted = F.coalesce(t.adoption(c)["draft"], "header", F.when(speaker, F.col("named")))
+    kinds = F.array_compact(F.array(
+        F.when(agenda, element("item", 0)),
+        F.when(F.col("spoken"), element("speech", 1, speaker=F.when(speaker, F.col("split.attribution")), text=F.col("said"))),
+        F.when(stage, element("direction", 1, text=c)),
+        F.when(F.col("adopts") & drafted.isNotNull(), element("resolution", 2, draft=drafted, text=F.col("lines"))),
+    ))
+    each = rows.withColumn("e", F.explode(kinds)).select(doc, "item", "section_id", "turn", "kind", "opened", "before", "titled", "e.*")
+    first = F.row_number().over(W.partitionBy(doc, "item", "element", "draft").orderBy("section_id"))
+    each = each.withColumn("_n", F.when(F.col("element") == "resolution", first).otherwise(1)).where("_n = 1").drop("_n")
+    wi, wd = (W.partitionBy(*p).orderBy("section_id", "rank").rowsBetween(W.unboundedPreceding, 0) for p in ((doc, "item"), (doc,)))
+    is_, counted = F.col("element"), F.col("element").isin("speech", "direction")
+    each = each.withColumn("position_in_item", F.when(is_ != "item", count(is_ != "item", wi) - 1)).withColumn("position_in_document", F.when(counted, count(counted, wd) - 1))
+    return _with_votes(each, rows, doc)
+
+
+def _with_votes(each: DataFrame, rows: DataFrame, doc: str) -> DataFrame:
+    """The elements with what was voted on each resolution; only the turns in which something was adopted, and those before them, are looked at."""
+    turns = rows.groupBy(doc, "turn").agg(F.sort_array(F.collect_list(F.struct("section_id", "lines", "opened", "ballot", (F.col("signal") | F.col("adopts")).alias("other")))).alias("parts"))
+    made = each.where("element = 'resolution'").select(doc, "item", "draft", "section_id", "turn", "kind", "opened", "before", "text")
+    parts = made.join(turns, [doc, "turn"]).join(turns.select(doc, (F.col("turn") + 1).alias("turn"), F.col("parts").alias("earlier")), [doc, "turn"], "left")
+    # the announcement in a speech comes after lists that stand in the turn before it
+    lists = F.when(F.col("kind") == "speaker", F.filter(F.coalesce("earlier", F.array().cast(parts.schema["parts"].dataType)), lambda p: p["ballot"])).otherwise(F.filter("parts", lambda p: p["ballot"] & (p["section_id"] < F.col("section_id")) & (p["opened"] == F.col("opened"))))
+    next_ = F.array_min(F.transform(F.filter("parts", lambda p: p["other"] & (p["section_id"] > F.col("section_id"))), lambda p: p["section_id"]))
+    after = F.slice(F.filter("parts", lambda p: (p["section_id"] > F.col("section_id")) & (next_.isNull() | (p["section_id"] < next_))), 1, FOLLOWING)
+    lines = lambda x: F.array_join(F.transform(x, lambda p: p["lines"]), "\n")
+    announced = (F.size("lists") > 0) | (F.col("opened") >= 0)
+    inside = F.coalesce(F.col("before").rlike(rf"(?i){t.LIST_HEADING}"), F.lit(False)) & (F.col("kind") == "stage")
+    context = F.when(F.size("lists") > 0, lines(F.col("lists"))).when(inside, F.col("before")).otherwise(lines(F.col("after")))
+    parts = parts.withColumn("lists", lists).withColumn("after", after).withColumn("context", context).withColumn("announced", announced | (inside & F.col("before").rlike(r"(?i)vote\s+was\s+taken")))
+    places = F.array(F.col("text"), lines(F.slice("after", 1, SPEECHES)), F.when(F.col("announced"), F.col("context")))
+    totals = F.get(F.filter(F.transform(places, t.vote_totals), lambda x: x["yes"].isNotNull()), F.lit(0))
+    voted = parts.withColumn("totals", totals)
+    recorded = F.col("announced") | F.col("totals.yes").isNotNull()
+    none = F.array().cast("array<struct<country:string,position:string>>")
+    voted = voted.select(doc, "item", "draft", t.adoption(F.col("text"))["adopted"].alias("adopted_symbol"), F.when(recorded, "recorded").otherwise("consensus").alias("vote_type"), "totals.yes", "totals.no", "totals.abstain", F.when(recorded, t.let(F.concat_ws("\n", "text", "context"), t.country_votes)).otherwise(none).alias("votes"))
+    out = each.join(voted, [doc, "item", "draft"], "left")
+    return out.select(doc, "item", "element", "position_in_item", "position_in_document", F.col("titled").alias("title"), "speaker", F.when(F.col("element") != "resolution", F.col("text")).alias("text"), F.col("draft").alias("draft_symbol"), "adopted_symbol", "vote_type", "yes", "no", "abstain", "votes")

@@ -15,9 +15,15 @@ query = Registry()
 
 @query("vote_totals", "select o_orderkey, cast(o_orderkey % 190 as int) as yes, cast(o_orderkey % 17 as int) as no, cast(case when o_orderkey % 3 = 0 then 0 else o_orderkey % 31 end as int) as abstain from orders")
 def vote_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """T23."""
+    """Totals in all forms."""
     k = F.col("o_orderkey")
-    said = F.concat(F.lit("It was adopted by "), k % 190, F.lit(" votes to "), k % 17, F.when(k % 3 == 0, ".").otherwise(F.concat(F.lit(", with "), k % 31, F.lit(" abstentions."))))
+    none = k % 3 == 0
+    said = (
+        F.when(k % 4 == 0, F.concat(F.lit("It was adopted by "), k % 190, F.lit(" votes to "), k % 17, F.when(none, ".").otherwise(F.concat(F.lit(", with "), k % 31, F.lit(" abstentions.")))))
+        .when(k % 4 == 1, F.concat(k % 190, F.lit(" in favour to "), k % 17, F.lit(" against"), F.when(none, ".").otherwise(F.concat(F.lit(", with "), k % 31, F.lit(" abstentions.")))))
+        .when(k % 4 == 2, F.concat(F.lit("It received "), k % 190, F.lit(" votes in favour, "), k % 17, F.lit(" against"), F.when(none, ".").otherwise(F.concat(F.lit(" and "), k % 31, F.lit(" abstentions.")))))
+        .otherwise(F.concat(F.lit("by "), k % 190, F.lit(" to "), k % 17, F.when(none, "").otherwise(F.concat(F.lit(" with "), k % 31, F.lit(" abstentions")))))
+    )
     return load(spark, sf, "orders", "o_orderkey").select("o_orderkey", t.vote_totals(said).alias("v")).select("o_orderkey", "v.*")
 
 
@@ -29,6 +35,40 @@ def adoption_parse(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "orders", "o_orderkey").select("o_orderkey", t.adoption(said).alias("a")).select("o_orderkey", "a.*")
 
 
+@query("on_behalf_of", r"select id, trim(regexp_extract(left(text, 500), '(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)', 1), ' ') as group_name from speeches where regexp_matches(left(text, 500), '(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)')")
+def on_behalf_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Whom the speeches speak for."""
+    found = load(spark, sf, "speeches", "id", "text").select("id", t.on_behalf_of(F.col("text")).alias("group_name"))
+    return found.where(F.col("group_name").isNotNull())
+
+
+@query(
+    "stage_directions",
+    r"""select id, case when regexp_matches(x, '(?is)draft\s+(?:resolution|decision)\b.*was\s+adopted|the\s+amendment\s+\([^)]+\)\s+was\s+adopted') then 'adoption' when regexp_matches(x, 'It was so decided|(?i:the\s+decision\s+was\s+adopted)') then 'decision'
+  when regexp_matches(x, '(?i)meeting\s+was\s+suspended') then 'suspension' when regexp_matches(x, '(?i)meeting\s+(?:was\s+)?resumed') then 'resumption' when regexp_matches(x, '(?i)meeting\s+rose') then 'adjournment' when regexp_matches(x, '(?i)minute\s+of\s+silence') then 'silence'
+  when regexp_matches(x, '(?i)^\s*\(spoke\s+in\s+\w+\)\s*$') then 'language_note' else 'other' end as direction, count(*) as n from (select id, unnest(string_split_regex(text, '\n')) as x from speeches) group by all""",
+)
+def stage_directions(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of every speech by kind."""
+    lines = load(spark, sf, "speeches", "id", "text").select("id", F.explode(F.split("text", "\n")).alias("x"))
+    return lines.groupBy("id", t.stage_direction(F.col("x")).alias("direction")).agg(F.count("*").alias("n"))
+
+
+@query("sponsorships", "select s_suppkey, case s_suppkey % 4 when 0 then 'list' when 1 then 'symbol' when 2 then 'parenthesis' else 'implicit' end as kind, case when s_suppkey % 4 < 3 then 'A/79/L.' || s_suppkey end as symbol, cast(case when s_suppkey % 4 = 0 then 2 else 0 end as int) as countries from supplier where s_suppkey % 7 > 0")
+def sponsorships(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences on co-sponsors of all forms; every seventh sponsors no draft."""
+    k = F.col("s_suppkey")
+    said = (
+        F.when(k % 7 == 0, F.lit("We were co-sponsor of the peace process."))
+        .when(k % 4 == 0, F.concat(F.lit("The following countries are now co-sponsors of draft resolution A/79/L."), k, F.lit(": NATION_1 and NATION_2.")))
+        .when(k % 4 == 1, F.concat(F.lit("We are glad to co-sponsor draft resolution A/79/L."), k, F.lit(".")))
+        .when(k % 4 == 2, F.concat(F.lit("My country co-sponsored this text (A/79/L."), k, F.lit(").")))
+        .otherwise("We cosponsor the text.")
+    )
+    found = load(spark, sf, "supplier", "s_suppkey").select("s_suppkey", t.sponsorship(said).alias("c")).where(F.col("c").isNotNull())
+    return found.select("s_suppkey", "c.kind", "c.symbol", F.size("c.countries").alias("countries"))
+
+
 @query("sponsor_lists", "select 'NATION_' || k as country, count(*) as n from (select unnest([s_suppkey % 25, 25 + s_suppkey % 7, 40 + s_suppkey % 3]) as k from supplier) group by 1")
 def sponsor_lists(spark: SparkSession, sf: str) -> DataFrame:
     """The names in sentences on co-sponsors."""

@@ -46,10 +46,59 @@ def block_sections(spark: SparkSession, sf: str) -> DataFrame:
     return n.join(after, ["doc", "section_id"])
 
 
-@query("meeting_items")
+@query(
+    "meeting_items",
+    rf"""with {_BLOCKS}, k as (select doc, seq, text, {_KIND} as kind from b), l as (select *, lag(kind) over (partition by doc order by seq) as last from k),
+  g as (select *, sum(case when kind <> 'continuation' or last = 'stage' or last is null then 1 else 0 end) over (partition by doc order by seq) - 1 as section_id from l),
+  s as (select doc, section_id, case when arg_min(kind, seq) = 'continuation' then 'text' else arg_min(kind, seq) end as kind, coalesce(string_agg(trim(text, ' '), ' ' order by seq) filter (trim(text, ' ') <> ''), '') as text from g group by all),
+  i as (select *, sum(case when kind = 'agenda' then 1 else 0 end) over (partition by doc order by section_id) as item, regexp_replace(text, '^\s*\d+\.\s*', '') as bare from s),
+  n as (select *, sum(case when kind in ('speaker', 'text') then 1 else 0 end) over (partition by doc, item order by section_id) as words,
+    nullif(regexp_extract(bare, '(?s)^((?:(?i:Mr|Mrs|Ms|Miss|Dr|Sir|The)\b)[^:;]{{1,99}})[:;]\s*(.*)$', 1), '') as attribution, regexp_extract(bare, '(?s)^((?:(?i:Mr|Mrs|Ms|Miss|Dr|Sir|The)\b)[^:;]{{1,99}})[:;]\s*(.*)$', 2) as after from i),
+  p as (select *, kind = 'speaker' or kind = 'text' and words = 1 as spoken, case when kind = 'speaker' then case when attribution is null then bare else after end else text end as body from n),
+  q as (select *, sum(spoken::int) over (partition by doc, item order by section_id) as speech, min(case when kind = 'agenda' then text end) over (partition by doc, item) as title from p),
+  said as (select doc, item, speech, string_agg(trim(body, ' '), ' ' order by section_id) filter (trim(body, ' ') <> '') as text from q where kind in ('speaker', 'text') group by all),
+  e as (select doc, item, section_id, 'item' as element, 0 as rank, title, null as speaker, null as text from q where kind = 'agenda'
+    union all select q.doc, q.item, section_id, 'speech', 1, title, case when kind = 'speaker' then trim(attribution, ' ') end, coalesce(said.text, '') from q join said using (doc, item, speech) where spoken
+    union all select doc, item, section_id, 'direction', 1, title, null, text from q where kind = 'stage')
+  select doc, cast(item as int) as item, element, cast(case when element <> 'item' then sum((element <> 'item')::int) over (partition by doc, item order by section_id, rank) - 1 end as int) as position_in_item,
+    cast(case when element <> 'item' then sum((element <> 'item')::int) over (partition by doc order by section_id, rank) - 1 end as int) as position_in_document, title, speaker, cast(length(text) as int) as chars from e""",
+)
 def meeting_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Items, speeches, directions and resolutions of every document."""
-    return s.items(s.sectionise(blocks(spark, sf))).drop("text")
+    """Items, speeches, directions and resolutions of every document (no text of these tables says that a draft was adopted; see recorded_votes)."""
+    return s.items(s.sectionise(blocks(spark, sf))).select("doc", "item", "element", "position_in_item", "position_in_document", "title", "speaker", F.length("text").alias("chars"))
+
+
+def ballot_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """A record of one vote for each resolution: the states (a fixed list) vote by their numbers; even ones print the lists after the adoption, others before it."""
+    states = load(spark, sf, "member_states", "state_id", "member_state").agg(F.sort_array(F.collect_list(F.struct("state_id", "member_state"))).alias("states"))  # one row
+    r = load(spark, sf, "resolutions", "id").crossJoin(F.broadcast(states))
+    k = F.col("id")
+    side = lambda n: F.filter("states", lambda x: (x["state_id"] + k) % 5 == n)
+    names = lambda n: F.when(F.size(side(n)) == 0, "None").otherwise(F.array_join(F.transform(side(n), lambda x: x["member_state"]), ", "))
+    block = lambda text, bold=False, italic=False: F.struct(text.alias("text"), F.lit(bold).alias("bold_start"), F.lit(italic).alias("all_italic"))
+    lists = [block(F.concat(F.lit(f"{h}: "), names(n))) for n, h in enumerate(("In favour", "Against", "Abstaining"))]
+    adopted = block(F.concat(F.lit("Draft resolution A/64/L."), k, F.lit(" was adopted by "), F.size(side(0)), F.lit(" votes to "), F.size(side(1)), F.lit(", with "), F.size(side(2)), F.lit(" abstentions (resolution 64/"), k, F.lit(").")), italic=True)
+    head = [block(F.concat(F.lit("Agenda item "), k % 90 + 1, F.lit(" Question")), True), block(F.lit("The President: We shall vote now."), True)]
+    taken = block(F.lit("A recorded vote was taken."), italic=True)
+    text = F.when(k % 2 == 0, F.array(*head, adopted, *lists)).otherwise(F.array(*head, taken, *lists, adopted))
+    return r.select(k.alias("doc"), F.posexplode(text).alias("seq", "x")).select("doc", "seq", "x.*")
+
+
+_SIDES = "(select r.id as doc, m.member_state as country, case (m.state_id + r.id) % 5 when 0 then 'yes' when 1 then 'no' when 2 then 'abstain' end as position from resolutions r, member_states m)"
+
+
+@query("recorded_votes", f"select doc, 'A/64/L.' || doc as draft_symbol, '64/' || doc as adopted_symbol, 'recorded' as vote_type, cast(count(*) filter (position = 'yes') as int) as yes, cast(count(*) filter (position = 'no') as int) as no, cast(count(*) filter (position = 'abstain') as int) as abstain from {_SIDES} group by doc")
+def recorded_votes(spark: SparkSession, sf: str) -> DataFrame:
+    """What was voted on every resolution, from the records of the votes."""
+    found = s.items(s.sectionise(ballot_blocks(spark, sf))).where("element = 'resolution'")
+    return found.select("doc", "draft_symbol", "adopted_symbol", "vote_type", "yes", "no", "abstain")
+
+
+@query("country_votes", f"select doc, country, position from {_SIDES} where position is not null")
+def country_votes(spark: SparkSession, sf: str) -> DataFrame:
+    """How every state voted."""
+    found = s.items(s.sectionise(ballot_blocks(spark, sf))).where("element = 'resolution'")
+    return found.select("doc", F.explode("votes").alias("v")).select("doc", "v.country", "v.position")
 
 
 @query("reading_order", "with e as (select user_id, event_id, value as x0, (event_id * 7919) % 1000 as y0, avg((value >= 50)::int) over (partition by user_id) >= 0.2 as two from events) select event_id, row_number() over (partition by user_id order by case when two and x0 >= 50 then 1 else 0 end, y0, x0) - 1 as seq from e")

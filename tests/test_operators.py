@@ -134,12 +134,38 @@ def test_sections_and_items(spark):
     b = spark.createDataFrame([("d", k, *x) for k, x in enumerate(text)] + [(None, 0, "x", False, False)], "doc string, seq int, text string, bold_start boolean, all_italic boolean")
     s = sections.sectionise(b)
     assert [r.kind for r in s.orderBy("section_id").collect()] == ["cover", "agenda", "speaker", "draft", "speaker", "stage", "text", "agenda"]
-    got = sections.items(s).orderBy("position_in_document").collect()
-    assert [(r.item, r.element, r.position_in_item) for r in got] == [(1, "item", 0), (1, "speech", 1), (1, "speech", 2), (1, "direction", 3), (1, "resolution", 4), (2, "item", 0)]
+    got = sections.items(s).orderBy("item", F.coalesce("position_in_item", F.lit(-1))).collect()
+    assert [(r.item, r.element, r.position_in_item, r.position_in_document) for r in got] == [(1, "item", None, None), (1, "speech", 0, 0), (1, "speech", 1, 1), (1, "direction", 2, 2), (1, "resolution", 3, None), (2, "item", None, None)]
     assert got[2].text.endswith("And more words.") and got[4].draft_symbol == "A/64/L.1" and got[1].speaker == "The President"
+    assert (got[4].adopted_symbol, got[4].vote_type, got[4].votes) == ("64/2", "consensus", [])
     assert sections.items(sections.sectionise(b.where("false"))).count() == 0
 
 
+def test_votes_of_items(spark):
+    def resolutions(*text):
+        b = spark.createDataFrame([("d", k, *x) for k, x in enumerate(text)], "doc string, seq int, text string, bold_start boolean, all_italic boolean")
+        got = sections.items(sections.sectionise(b)).where("element = 'resolution'").orderBy("item", "position_in_item").collect()
+        return [(r.draft_symbol, r.vote_type, (r.yes, r.no, r.abstain), [(v.country, v.position) for v in r.votes]) for r in got]
+
+    agenda, president = ("Agenda item 5", True, False), ("The President: We vote on A/64/L.9.", True, False)
+    taken = ("A recorded vote was taken.", False, True)
+    lists = [("In favour: Chad, Peru", False, False), ("Against: Togo", False, False), ("Abstaining: None", False, False)]
+    chad = [("Chad", "yes"), ("Peru", "yes"), ("Togo", "no")]
+    adopted = ("Draft resolution A/64/L.1 was adopted by 2 votes to 1.", False, True)
+    # before the adoption, after it, and announced by the next speaker
+    assert resolutions(agenda, president, taken, *lists, adopted) == [("A/64/L.1", "recorded", (2, 1, 0), chad)]
+    assert resolutions(agenda, president, adopted, *lists) == [("A/64/L.1", "recorded", (2, 1, 0), chad)]
+    said = ("The President: The draft resolution received 2 votes in favour, one against. The draft resolution has been adopted as resolution 12 (2001).", True, False)
+    assert resolutions(agenda, president, taken, *lists, said) == [("A/64/L.9", "recorded", (2, 1, 0), chad)]
+    # lists of the vote after it aren't its own; the same draft counts once for each item
+    other = ("Draft resolution A/64/L.2 was adopted (resolution 64/3).", False, True)
+    assert resolutions(agenda, president, other, taken, *lists, adopted, adopted) == [("A/64/L.2", "consensus", (None, None, None), []), ("A/64/L.1", "recorded", (2, 1, 0), chad)]
+    # without a symbol the last heading's draft is meant, within its item only
+    heading, short = ("Draft resolution (A/64/L,7)", True, False), ("The draft resolution was adopted.", False, True)
+    assert resolutions(agenda, heading, president, short) == [("A/64/L.7", "consensus", (None, None, None), [])]
+    assert resolutions(agenda, heading, ("Agenda item 6", True, False), short) == []
+
+
 def test_page_order(spark):
     one = [("a", 1, 10.0, float(k), 600.0) for k in range(10)]
     two = [("b", 1, 400.0 if k % 2 else 10.0, float(k), 600.0) for k in range(10)]

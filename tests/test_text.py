@@ -45,7 +45,38 @@ CASES = [
     (lambda c: t.split_attribution(c)["attribution"], "1. MR. AHMED (Pakistan): I should like to join", "MR. AHMED (Pakistan)"),
     (lambda c: t.split_attribution(c)["body"], "1. MR. AHMED (Pakistan): I should like to join", "I should like to join"),
     (t.country_list, "Algeria, Angola, Argentina", ["Algeria", "Angola", "Argentina"]),
-    (t.country_list, "France, Germany and Spain.", ["France", "Germany", "Spain"]),
+    (t.sponsor_list, "France, Germany and Spain.", ["France", "Germany", "Spain"]),
+    (t.country_list, "Chad, United Kingdom of Great Britain and Northern Ireland", ["Chad", "United Kingdom of Great Britain and Northern Ireland"]),
+    (t.country_list, "Chad, United Kingdom of Great Britain and Northern Ireland and United States of America", ["Chad", "United Kingdom of Great Britain and Northern Ireland", "United States of America"]),
+    (t.country_list, "Chad, " + "x" * 81, ["Chad"]),
+    (lambda c: F.to_json(t.vote_totals(c)), "121 in favour to 5 against, with 3 abstentions", '{"yes":121,"no":5,"abstain":3}'),
+    (lambda c: F.to_json(t.vote_totals(c)), "100 in favour to 0 against", '{"yes":100,"no":0,"abstain":0}'),
+    (lambda c: F.to_json(t.vote_totals(c)), "received 13 votes in favour, none against and two abstentions", '{"yes":13,"no":0,"abstain":2}'),
+    (lambda c: F.to_json(t.vote_totals(c)), "received 13 votes in favour, none against", '{"yes":13,"no":0,"abstain":0}'),
+    (lambda c: F.to_json(t.vote_totals(c)), "by 121 votes in favour to 5 against", '{"yes":121,"no":5,"abstain":0}'),
+    (lambda c: F.to_json(t.country_votes(c)), "In favour: Chad, Peru.\nAgainst: China and Togo\nAbstaining: None\nDraft resolution I was adopted by 2 votes to 2.\nIn favour: Fiji", '[{"country":"Chad","position":"yes"},{"country":"Peru","position":"yes"},{"country":"China","position":"no"},{"country":"Togo","position":"no"}]'),
+    (lambda c: F.to_json(t.country_votes(c)), "The draft resolution was adopted.\nIn favour:\nChad,\nPeru\nAgainst: chad\n[Subsequently Fiji]", '[{"country":"Chad","position":"yes"},{"country":"Peru","position":"yes"}]'),
+    (lambda c: F.to_json(t.country_votes(c)), "It was so decided.", "[]"),
+    (lambda c: F.to_json(t.adoption(c)), "The draft resolution has been adopted as resolution 2448 (2018).", '{"adopted":"2448 (2018)"}'),
+    (lambda c: F.to_json(t.adoption(c)), "Draft resolution was adopted by 113 votes to 2 (resolution 75/1).", '{"adopted":"75/1"}'),
+    (lambda c: F.to_json(t.adoption(c)), "Draft resolution II, as orally corrected, was adopted (resolution 65/207).", '{"draft":"II","adopted":"65/207"}'),
+    (lambda c: F.to_json(t.adoption(c)), "It was so decided.", "{}"),
+    (t.is_adoption, "The draft decision was adopted.", True),
+    (t.is_adoption, "The report was adopted.", False),
+    (lambda c: t.entitled(c, F.lit("A/76/L.86")), 'Draft resolution A/76/L.86, entitled "One". Draft resolution L.87 is entitled “Two”.', "One"),
+    (lambda c: t.entitled(c, F.lit("A/76/L.87")), 'Draft resolution A/76/L.86, entitled "One". Draft resolution L.87 is entitled “Two”.', "Two"),
+    (lambda c: t.entitled(c, F.lit("A/76/L.9")), 'Draft resolution A/76/L.86, entitled "One".', "One"),
+    (t.stage_direction, "Draft resolution A/1/L.2 was adopted.", "adoption"),
+    (t.stage_direction, "It was decided to suspend; the meeting was suspended at noon.", "suspension"),
+    (t.stage_direction, "The meeting rose at 6 p.m.", "adjournment"),
+    (t.stage_direction, "(spoke in French)", "language_note"),
+    (t.stage_direction, "The representatives observed a minute of silence.", "silence"),
+    (lambda c: F.to_json(t.sponsorship(c)), "The following countries have become co-sponsors of draft resolution A/79/L.8: Chad, Peru and Fiji.", '{"kind":"list","symbol":"A/79/L.8","countries":["Chad","Peru","Fiji"]}'),
+    (lambda c: F.to_json(t.sponsorship(c)), "We are pleased to co-sponsor draft resolution A/79/L.8.", '{"kind":"symbol","symbol":"A/79/L.8","countries":[]}'),
+    (lambda c: F.to_json(t.sponsorship(c)), "My country co-sponsored the text on oceans (A/79/L.8).", '{"kind":"parenthesis","symbol":"A/79/L.8","countries":[]}'),
+    (lambda c: F.to_json(t.sponsorship(c)), "We are proud to cosponsor this text.", '{"kind":"implicit","countries":[]}'),
+    (t.sponsorship, "We were co-sponsor of the peace process.", None),
+    (t.sponsorship, "We agree.", None),
     (t.country_list, "France and Germany", ["France", "Germany"]),
     (t.country_list, "None", []),
     (t.country_list, "", []),
@@ -68,7 +99,8 @@ CASES = [
     (t.mentions, "resolution 64/299 and resolution 1441 (2002)", ["A/RES/64/299", "S/RES/1441"]),
     (t.cosponsors, "The co-sponsors are Algeria, Benin and Chad.", ["Algeria", "Benin", "Chad"]),
     (t.cosponsors, "We withdraw as co-sponsors: Algeria.", []),
-    (t.on_behalf_of, "I speak on behalf of the Lakes Group, and", "the Lakes Group"),
+    (t.on_behalf_of, "I speak on behalf of the Lakes Group, and", "Lakes Group"),
+    (t.on_behalf_of, "on behalf of my people I greet", "my people"),
     (lambda c: F.to_json(t.agenda_header(c)), "Agenda item 12 (b) (continued) Question of peace", '{"agenda_number":12,"sub_item":"b","continued":true,"title":"Question of peace"}'),
     (t.normalise_name, "Smith, John, 1950-2001", "John Smith"),
     (t.string_list, "['A', 'B']", ["A", "B"]),
