@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import upsert
-from ..operators.merge import quarantine, repoint, repoint_pairs
+from ..operators.merge import master_merge, quarantine, repoint, repoint_pairs
 from ..operators.pairs import pairs_in_group
 from ..tables import load
 from . import Registry
@@ -130,3 +130,12 @@ def quarantine_countries(spark: SparkSession, sf: str) -> DataFrame:
     """Records without a code are set apart, not deleted."""
     good, bad = quarantine(load(spark, sf, "countries", "id", "iso3"), F.col("iso3").rlike("^[A-Z]{3}$"))
     return good.select("id", F.lit(True).alias("usable")).unionByName(bad.select("id", F.lit(False).alias("usable")))
+
+
+@query("country_passes")
+def country_passes(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of each country: kept, renamed, merged or deleted, by its name in the list of states or the most similar one."""
+    m = load(spark, sf, "member_states", "member_state", "iso_code", "other_names", "earlier_name")
+    names = F.array_compact(F.concat(F.array("member_state", "earlier_name"), F.coalesce(F.split("other_names", r"\|"), F.array().cast("array<string>"))))
+    listed = m.select(F.explode(names).alias("alias"), F.col("iso_code").alias("code"), F.col("member_state").alias("canonical"))
+    return master_merge(load(spark, sf, "countries", "id", "name", "iso3").withColumnRenamed("iso3", "code"), listed)

@@ -331,6 +331,22 @@ def test_meeting_records(spark, tmp_path):
     assert (tmp_path / "out" / "key=A_1_PV.1").exists() and spark.read.json(str(tmp_path / "failed")).count() == 1
 
 
+def test_master_merge(spark):
+    listed = spark.createDataFrame([("Lemira", "LEM", "Lemira"), ("Rep. of Lemira", "LEM", "Lemira"), ("Sonuru", "SON", "Sonuru"), ("Old Sonuru", "SON", "Sonuru"), ("Grokalique", "GRL", "Grokalique")], "alias string, code string, canonical string")
+    r = spark.createDataFrame([
+        (1, "Lemira", "LEM"), (2, "REP. OF LEMIRA", None), (3, "Old Sonuru", "SON"), (4, "old sonuru", None), (5, "Grokaliqe", None), (6, "Grokalike", None),
+        (7, "put to the vote", None), (8, "abc", None), (9, None, None), (10, "Lemra", None), (11, "Elsewhere", "ELS"),
+    ], "id long, name string, code string")
+    got = {x["id"]: (x["action"], x["new_id"], x["name"], x["code"]) for x in merge.master_merge(r, listed).collect()}
+    assert got == {
+        1: ("keep", 1, "Lemira", "LEM"), 2: ("merge", 1, "Lemira", "LEM"), 3: ("rename", 3, "Sonuru", "SON"), 4: ("merge", 3, "Sonuru", "SON"),
+        5: ("fuzzy_rename", 5, "Grokalique", "GRL"), 6: ("fuzzy_merge", 5, "Grokalique", "GRL"), 7: ("delete", None, None, None), 8: ("delete", None, None, None),
+        9: ("delete", None, None, None), 10: ("fuzzy_merge", 1, "Lemira", "LEM"), 11: ("keep", 11, "Elsewhere", "ELS"),
+    }
+    assert merge.master_merge(r.where("false"), listed).count() == 0
+    assert {x["action"] for x in merge.master_merge(r, listed.where("false")).collect()} == {"keep", "delete"}
+
+
 def test_streams(spark, tmp_path):
     from rostrum.streaming import incremental as s
 
@@ -343,7 +359,18 @@ def test_streams(spark, tmp_path):
     batch([(4, day(3), 2, "b", 1.0), (5, day(3), 3, "b", 1.0)])
     s.run_once(s.incoming(spark, folder, schema), str(tmp_path / "ck"), sink=sink)
     s.run_once(s.incoming(spark, folder, schema), str(tmp_path / "ck"), sink=sink)
-    assert rows(spark.read.parquet(str(tmp_path / "state" / "1")), "user_id", "event_id") == [(1, 2), (2, 4), (3, 5)]
+    state = str(tmp_path / "state")
+    assert rows(s.current_state(spark, state), "user_id", "event_id") == [(1, 2), (2, 4), (3, 5)]
+    batch([(6, day(1), 3, "b", 1.0)])  # comes late, changes nothing
+    s.run_once(s.incoming(spark, folder, schema), str(tmp_path / "ck"), sink=sink)
+    assert rows(s.current_state(spark, state), "user_id", "event_id") == [(1, 2), (2, 4), (3, 5)]
+    sink(spark.createDataFrame([(9, day(9), 1, "a", 1.0)], schema), 1)  # batch 1 once more, with other rows: from the state before it
+    assert (1, 9) in rows(s.current_state(spark, state, before=2), "user_id", "event_id")
+    assert s.current_state(spark, str(tmp_path / "nothing")) is None
+    told = s.notifying(str(tmp_path / "told"), "events", "event_id")
+    for _ in range(2):
+        told(spark.createDataFrame([(9, day(9), 1, "a", 1.0)], schema), 0)
+    assert rows(spark.read.json(str(tmp_path / "told" / "0")), "channel", "payload") == [("events", '{"event_id":9}')]
     s.run_once(s.windowed_counts(s.incoming(spark, folder, schema)), str(tmp_path / "ck2"), path=str(tmp_path / "w"))
     assert spark.read.parquet(str(tmp_path / "w")).where("n > 0").count() >= 1
 
