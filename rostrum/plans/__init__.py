@@ -28,10 +28,10 @@ class Registry:
 
 def core() -> Registry:
     """All queries outside the optional subpackage."""
-    from . import models, orphans, phrases, records, relational, sequences, streams, texts, writes
+    from . import ballots, models, orphans, phrases, records, relational, sequences, streams, texts, writes
 
     out = Registry()
-    for module in (models, orphans, phrases, records, relational, sequences, streams, texts, writes):
+    for module in (ballots, models, orphans, phrases, records, relational, sequences, streams, texts, writes):
         out.queries |= module.query.queries
         out.sql |= module.query.sql
     return out
