@@ -1,68 +1,60 @@
-"""HTML pages to styled paragraphs."""
+"""HTML pages to styled paragraphs: a page becomes a stream of texts and breaks, which is then cut at the breaks."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BREAKS = frozenset(("p", "div", "br", "h1", "h2", "h3", "h4", "li"))
-SKIPPED = frozenset(("script", "style", "head"))
 BLOCKS = "array<struct<text:string,bold:boolean,italic:boolean>>"
 
-
-class Paragraphs(HTMLParser):
-    """Collects paragraphs as lists of (text, bold, italic). Styles are a stack, so a style ends where its element does."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.done: list[list[tuple[str, bool, bool]]] = []
-        self.now: list[tuple[str, bool, bool]] = []
-        self.styles: list[tuple[str, bool, bool]] = []
-        self.skip = 0
-
-    def flush(self) -> None:
-        if any(t.strip() for t, _, _ in self.now):
-            self.done.append(self.now)
-        self.now = []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in SKIPPED:
-            self.skip += 1
-        if tag in BREAKS:
-            self.flush()
-        if tag == "br":
-            return
-        css = (dict(attrs).get("style") or "").lower().replace(" ", "")
-        weight = css.partition("font-weight:")[2].partition(";")[0]
-        bold = tag in ("b", "strong") or weight == "bold" or (weight.isdigit() and int(weight) >= 600)
-        italic = tag in ("i", "em") or "font-style:italic" in css
-        self.styles.append((tag, bold, italic))
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in SKIPPED:
-            self.skip = max(0, self.skip - 1)
-        if tag in BREAKS:
-            self.flush()
-        for k in range(len(self.styles) - 1, -1, -1):
-            if self.styles[k][0] == tag:
-                del self.styles[k:]
-                break
-
-    def handle_data(self, data: str) -> None:
-        if not self.skip and data:
-            self.now.append((data, any(b for _, b, _ in self.styles), any(i for _, _, i in self.styles)))
+# Elements that begin and end paragraphs, elements and styles that are bold or italic, weights from which text is bold.
+BREAKS = frozenset(("p", "div", "br", "h1", "h2", "h3", "h4", "li"))
+BOLD, ITALIC, HEAVY = frozenset(("b", "strong")), frozenset(("i", "em")), 600
+#: A comment, an element whose content isn't shown, a tag, or text.
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head)\b.*?(?:</\1\s*>|\Z)|<(?P<close>/?)(?P<name>[a-z][a-z0-9]*)(?P<rest>[^>]*)>|(?P<text>[^<]+|<)", re.IGNORECASE | re.DOTALL)
+STYLE = re.compile(r"""\bstyle\s*=\s*(?:"([^"]*)"|'([^']*)')""", re.IGNORECASE)
+WEIGHT, SLANT = re.compile(r"font-weight\s*:\s*(bold|\d+)", re.IGNORECASE), re.compile(r"font-style\s*:\s*(?:italic|oblique)", re.IGNORECASE)
+
+#: Text with its style, or None for a break.
+Piece = tuple[str, bool, bool] | None
+
+
+def styled(name: str, rest: str, within: tuple[bool, bool]) -> tuple[bool, bool]:
+    """The style in an element, given that around it."""
+    css = next((a or b for a, b in STYLE.findall(rest)), "")
+    weight = WEIGHT.search(css)
+    heavy = weight is not None and (weight[1].lower() == "bold" or weight[1].isdigit() and int(weight[1]) >= HEAVY)
+    return within[0] or name in BOLD or heavy, within[1] or name in ITALIC or SLANT.search(css) is not None
+
+
+def stream(html: str) -> Iterator[Piece]:
+    """The texts of a page, each with the style of the element in which it stands, and its breaks."""
+    open_ = [("", (False, False))]
+    for m in PIECE.finditer(html):
+        if m["text"] is not None:
+            yield unescape(m["text"]), *open_[-1][1]
+        elif m["name"] is not None:
+            name = m["name"].lower()
+            if name in BREAKS:
+                yield None
+            if m["close"]:
+                names = [n for n, _ in open_]
+                if name in names:  # with all that wasn't closed in it
+                    del open_[len(names) - 1 - names[::-1].index(name) :]
+            elif name != "br" and not m["rest"].rstrip().endswith("/"):
+                open_.append((name, styled(name, m["rest"], open_[-1][1])))
 
 
 def parse(html: str) -> list[list[dict]]:
-    p = Paragraphs()
-    p.feed(html)
-    p.close()
-    p.flush()
-    return [[{"text": t, "bold": b, "italic": i} for t, b, i in x] for x in p.done]
+    """The paragraphs of a page; blank texts and paragraphs are left out."""
+    shown = (x for x in stream(html) if x is None or x[0].strip())
+    return [[{"text": t, "bold": b, "italic": i} for t, b, i in run] for is_break, run in groupby(shown, key=lambda x: x is None) if not is_break]
 
 
 def html_blocks(pages: DataFrame, key: str, html: str, least: int = 0) -> DataFrame:
