@@ -392,3 +392,47 @@ def string_list(c: Column) -> Column:
     """A JSON array, a list written with single quotes, or one value."""
     listed = F.from_json(F.translate(c, "'", '"'), "array<string>")
     return F.when(c.rlike(r"^\s*\["), listed).when(c.isNotNull(), F.array(F.trim(c)))
+
+
+# How a cover names the one who presides, with dots up to the state or without.
+PRESIDENT = (r"(?s)President\s*:\s*(.+?)\s*[.\s]{3,}\s*\(([^)]+)\)", r"(?s)President\s*:\s*(.+?)\s*\(([^)]+)\)")
+
+
+def president(c: Column) -> Column:
+    """Name and country of the one who presides, without the dots between them; null if the cover names nobody."""
+    found = F.coalesce(*(F.when(c.rlike(p), F.array(*(F.regexp_extract(c, p, k) for k in (1, 2)))) for p in PRESIDENT))
+    name = lambda x: normalize_allcaps(F.regexp_replace(F.trim(F.get(x, F.lit(0))), r"[\s._\-]+$", ""))
+    return let(found, lambda x: F.when(x.isNotNull(), F.struct(name(x).alias("name"), F.trim(F.get(x, F.lit(1))).alias("country"))))
+
+
+def record_metadata(cover: Column) -> Column:
+    """Symbol, session, meeting number, date, location, president and body that the text of a cover gives; a council's session is its year, spelt out. Without a symbol the body is the assembly."""
+    symbol = record_symbol(cover)
+    session = F.when(symbol.startswith("A/"), session_of(symbol)).otherwise(ordinal_year(cover))
+    return F.struct(symbol.alias("symbol"), session.alias("session"), meeting_number(cover).alias("meeting_number"), spelled_date(cover).alias("date"), location(cover).alias("location"), president(cover).alias("president"), F.coalesce(body_of(symbol), F.lit("GA")).alias("body"))
+
+
+def metadata_ladder(*steps: Column) -> Column:
+    """Field by field the first step that gives it: what the cover's text says, what cover and path say together, what the path says. Steps are as of record_metadata; the body follows the symbol that is found."""
+    fields = ("symbol", "session", "meeting_number", "date", "location", "president")
+    first = {f: F.coalesce(*(s[f] for s in steps)) for f in fields}
+    return F.struct(*(c.alias(f) for f, c in first.items()), F.coalesce(body_of(first["symbol"]), F.lit("GA")).alias("body"))
+
+
+def speech_text(blocks: Column) -> Column:
+    """The text of a speech from its blocks, the first of which bears the label: blocks that aren't blank in paragraphs, without print codes, divided words joined."""
+    first = F.array(split_attribution(F.get(blocks, F.lit(0)))["body"])
+    parts = F.filter(F.transform(F.concat(first, F.slice(blocks, 2, 1_000_000)), lambda b: F.trim(b)), lambda b: b != "")
+    return repair_hyphenation(strip_print_codes(F.array_join(parts, "\n\n")))
+
+
+def vote_errors(vote_type: Column, totals: Column, votes: Column) -> Column:
+    """What a recorded vote lacks: counts, or the list of states."""
+    recorded = vote_type == "recorded"
+    counts = [F.when(recorded & totals[n].isNull(), f"{n}: missing") for n in ("yes", "no", "abstain")]
+    return F.array_compact(F.array(*counts, F.when(recorded & (F.coalesce(F.size(votes), F.lit(0)) == 0), "votes: empty")))
+
+
+def year_of_symbol(c: Column) -> Column:
+    """The year in a council's document symbol."""
+    return extracted(c, r"^S/([12][0-9]{3})/").cast("int")

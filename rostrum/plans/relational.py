@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -329,3 +331,42 @@ def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """G25."""
     d = load(spark, sf, "documents", "ocr_quality_label", "ocr_quality_score").where(F.col("ocr_quality_score").isNotNull())
     return d.groupBy(F.col("ocr_quality_label").alias("actual"), F.when(F.col("ocr_quality_score") >= 0.7, "good").when(F.col("ocr_quality_score") >= 0.4, "poor").otherwise("unusable").alias("predicted")).agg(F.count("*").alias("n"))
+
+
+@query("key_sets", "select key, case when bool_and(s = 'a') then 'only_countries' when bool_and(s = 'b') then 'only_states' else 'both' end as side from (select iso3 as key, 'a' as s from countries where iso3 is not null union select iso_code, 'b' from member_states) group by key")
+def key_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Union, intersection and difference of two sets of keys."""
+    a = load(spark, sf, "countries", "iso3").where("iso3 is not null").select(F.col("iso3").alias("key")).distinct()
+    b = load(spark, sf, "member_states", "iso_code").select(F.col("iso_code").alias("key"))
+    part = lambda df, side: df.withColumn("side", F.lit(side))
+    return part(a.exceptAll(b), "only_countries").unionByName(part(b.exceptAll(a), "only_states")).unionByName(part(a.intersect(b), "both"))
+
+
+def filtered_documents(d: DataFrame, body: str | None = None, before: int | None = None) -> DataFrame:
+    """Of one body, if one is given, and from before a year, if one is given; records without date stay."""
+    if body is not None:
+        d = d.where(F.col("body") == body)
+    return d if before is None else d.where(F.col("date").isNull() | (F.year("date") < before))
+
+
+@query("optional_filters", "select 'all' as filter, count(*) as n from documents union all select 'GA', count(*) from documents where body = 'GA' union all select 'GA before 1990', count(*) from documents where body = 'GA' and (date is null or year(date) < 1990)")
+def optional_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """One plan for filters that are given or not."""
+    d = load(spark, sf, "documents", "body", "date")
+    cases = {"all": {}, "GA": {"body": "GA"}, "GA before 1990": {"body": "GA", "before": 1990}}
+    n = [filtered_documents(d, **c).agg(F.lit(k).alias("filter"), F.count("*").alias("n")) for k, c in cases.items()]
+    return reduce(DataFrame.unionByName, n)
+
+
+@query(
+    "debate_probe",
+    """select g.id, count(*) as speeches from general_debate_entries g join member_states m on m.state_id = g.country_id
+  join (select d.session, n.iso_code from speeches s join documents d on d.doc_id = s.document_id join member_states n on n.member_state = s.speaker.country) k on k.session = g.ga_session and k.iso_code = m.iso_code group by g.id""",
+)
+def debate_probe(spark: SparkSession, sf: str) -> DataFrame:
+    """The speeches that agree with an entry in session and code of the state; counted by key before the join."""
+    m = F.broadcast(load(spark, sf, "member_states", "state_id", "iso_code", "member_state"))  # a fixed list
+    said = load(spark, sf, "speeches").select("document_id", F.col("speaker.country").alias("member_state")).join(m, "member_state")
+    keys = said.join(load(spark, sf, "documents", "doc_id", "session").withColumnRenamed("doc_id", "document_id"), "document_id").groupBy("session", "iso_code").agg(F.count("*").alias("speeches"))
+    g = load(spark, sf, "general_debate_entries", "id", "country_id", "ga_session").withColumnsRenamed({"ga_session": "session", "country_id": "state_id"})
+    return g.join(m, "state_id").join(keys, ["session", "iso_code"]).select("id", "speeches")

@@ -188,3 +188,16 @@ def subject_category(spark: SparkSession, sf: str) -> DataFrame:
     hit = tags.join(F.broadcast(rules), tags["field"] == rules["field"]).where(F.col("tag").contains(F.col("word")))
     best = hit.groupBy("p_partkey").agg(F.min_by("category", "priority").alias("category"))
     return p.select("p_partkey").join(best, "p_partkey", "left").select("p_partkey", F.coalesce("category", F.lit("Uncategorized")).alias("category"))
+
+
+@query(
+    "cover_metadata",
+    r"""select doc_id, symbol, case when body = 'GA' then cast(regexp_extract(symbol, '^A/(\d+)/', 1) as int) else 47 end as session, cast(regexp_extract(symbol, 'PV\.(\d+)', 1) as int) as meeting_number, cast(date as varchar) as date, case when doc_id % 3 > 0 then 'New York' else 'Geneva' end as location, 'Mr. Baro' as president, 'NATION_' || (doc_id % 25) as country, body
+  from documents where regexp_full_match(symbol, '(?:A/\d+|S)/PV\.\d+') and year(date) between 1945 and 2100""",
+)
+def cover_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """What covers say that are written for all records."""
+    d = load(spark, sf, "documents", "doc_id", "symbol", "date").where(F.col("symbol").rlike(r"^(?:A/\d+|S)/PV\.\d+$") & F.year("date").between(1945, 2100))
+    cover = F.concat(F.lit("Official Records  "), "symbol", F.lit("  Forty-seventh year\nMonday, "), F.date_format("date", "d MMMM yyyy"), F.lit(", 3 p.m.\n"), F.when(F.col("doc_id") % 3 > 0, "NEW YORK").otherwise("Geneva"), F.lit("\nPresident: MR. BARO"), F.when(F.col("doc_id") % 2 == 0, " ........ ").otherwise(" "), F.lit("(NATION_"), F.col("doc_id") % 25, F.lit(")"))
+    m = d.select("doc_id", t.record_metadata(cover).alias("m")).select("doc_id", "m.*")
+    return m.select("doc_id", "symbol", "session", "meeting_number", F.col("date").cast("string").alias("date"), "location", F.col("president.name").alias("president"), F.col("president.country").alias("country"), "body")

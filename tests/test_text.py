@@ -102,6 +102,15 @@ CASES = [
     (t.on_behalf_of, "I speak on behalf of the Lakes Group, and", "Lakes Group"),
     (t.on_behalf_of, "on behalf of my people I greet", "my people"),
     (lambda c: F.to_json(t.agenda_header(c)), "Agenda item 12 (b) (continued) Question of peace", '{"agenda_number":12,"sub_item":"b","continued":true,"title":"Question of peace"}'),
+    (lambda c: F.to_json(t.president(c)), "President: Mr. INSANALLY ........ (Guyana)", '{"name":"Mr. Insanally","country":"Guyana"}'),
+    (lambda c: F.to_json(t.president(c)), "President: MR. INSANALLY _ (Guyana)", '{"name":"Mr. Insanally","country":"Guyana"}'),
+    (t.president, "Nobody presides.", None),
+    (lambda c: F.to_json(t.record_metadata(c)), "S/PV.3121 Forty-seventh year 3121st meeting 6 October 1992 New York President: Mr. Li (China)", '{"symbol":"S/PV.3121","session":47,"meeting_number":3121,"date":"1992-10-06","location":"New York","president":{"name":"Mr. Li","country":"China"},"body":"SC"}'),
+    (lambda c: F.to_json(t.metadata_ladder(t.record_metadata(c), t.record_metadata(F.concat(F.lit("A/64/PV.2 "), c)))), "on 6 October 2009", '{"symbol":"A/64/PV.2","session":64,"meeting_number":2,"date":"2009-10-06","body":"GA"}'),
+    (lambda c: t.speech_text(F.split(c, "@")), "1. Mr. AHMED (Pakistan): I should@ @like co- operation 08-51481 (E)@now", "I should\n\nlike cooperation \n\nnow"),
+    (lambda c: t.vote_errors(c, F.struct(F.lit(1).alias("yes"), F.lit(None).cast("int").alias("no"), F.lit(0).alias("abstain")), F.array()), "recorded", ["no: missing", "votes: empty"]),
+    (t.year_of_symbol, "S/2018/1016", 2018),
+    (t.year_of_symbol, "A/2018/1016", None),
     (t.normalise_name, "Smith, John, 1950-2001", "John Smith"),
     (t.string_list, "['A', 'B']", ["A", "B"]),
     (t.string_list, "Solo", ["Solo"]),
