@@ -35,13 +35,6 @@ def adoption_parse(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "orders", "o_orderkey").select("o_orderkey", t.adoption(said).alias("a")).select("o_orderkey", "a.*")
 
 
-@query("on_behalf_of", r"select id, trim(regexp_extract(left(text, 500), '(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)', 1), ' ') as group_name from speeches where regexp_matches(left(text, 500), '(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)')")
-def on_behalf_of(spark: SparkSession, sf: str) -> DataFrame:
-    """Whom the speeches speak for."""
-    found = load(spark, sf, "speeches", "id", "text").select("id", t.on_behalf_of(F.col("text")).alias("group_name"))
-    return found.where(F.col("group_name").isNotNull())
-
-
 @query(
     "stage_directions",
     r"""select id, case when regexp_matches(x, '(?is)draft\s+(?:resolution|decision)\b.*was\s+adopted|the\s+amendment\s+\([^)]+\)\s+was\s+adopted') then 'adoption' when regexp_matches(x, 'It was so decided|(?i:the\s+decision\s+was\s+adopted)') then 'decision'

@@ -103,9 +103,9 @@ def topic_words(spark: SparkSession, sf: str) -> DataFrame:
     return w.groupBy("word").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("documents"))
 
 
-@query("on_behalf", r"""select id, nullif(regexp_extract(substr(text, 1, 500), '(?i:on behalf of) ((?:the )?[A-Z][^.,;:]*)', 1), '') as party from speeches""")
+@query("on_behalf", r"""select id, nullif(trim(regexp_extract(left(text, 500), '(?i)on\s+behalf\s+of\s+(?:the\s+)?([\p{L}\p{N}_\s,\-]+?)(?:\s*[.,;]|\s+I\b)', 1), ' '), '') as party from speeches""")
 def on_behalf(spark: SparkSession, sf: str) -> DataFrame:
-    """T17."""
+    """Whom the speeches speak for."""
     return load(spark, sf, "speeches", "id", "text").select("id", t.on_behalf_of(F.col("text")).alias("party"))
 
 
