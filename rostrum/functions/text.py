@@ -60,13 +60,17 @@ def strip_print_codes(c: Column) -> Column:
 def wordlike_counts(c: Column) -> tuple[Column, Column]:
     """Tokens with a letter, and of these the word-like ones: two ASCII letters or more, and half of the characters."""
     tokens = F.filter(words(c), lambda w: w.rlike("[A-Za-z]"))
-    n = lambda w: F.regexp_count(w, F.lit("[A-Za-z]"))
-    return F.size(tokens), F.size(F.filter(tokens, lambda w: (n(w) >= 2) & (n(w) * 2 >= F.length(w))))
+    n = lambda w: F.length(F.regexp_replace(w, "[^A-Za-z]+", ""))
+    return F.size(tokens), F.size(F.filter(tokens, lambda w: ~w.rlike("[^A-Za-z]") & (F.length(w) >= 2) | (n(w) >= 2) & (n(w) * 2 >= F.length(w))))
 
 
 def quality_score(c: Column) -> Column:
     """T4: share of word-like tokens, to four places; 0 under fifty tokens."""
-    alpha, good = wordlike_counts(c)
+    return let(F.struct(*(x.alias(n) for n, x in zip(("alpha", "good"), wordlike_counts(c)))), lambda x: quality_of(x["alpha"], x["good"]))
+
+
+def quality_of(alpha: Column, good: Column) -> Column:
+    """T4: the score that counts of tokens give."""
     return F.when(alpha < 50, 0.0).otherwise(F.round(good / alpha, 4))
 
 

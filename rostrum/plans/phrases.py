@@ -89,12 +89,12 @@ def agenda_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "draft_symbol_repair",
-    "select id, draft_symbol as repaired from resolutions where draft_symbol like 'A/C.1/%'",
+    "select id, regexp_replace(trim(draft_symbol, ' '), '[\\s.,;:)]+$', '') as repaired from resolutions where draft_symbol not like '%J%' and draft_symbol not like '%L,%' and draft_symbol not like '%C.I%'",
 )
 def draft_symbol_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """Symbols as scans misread them."""
-    r = load(spark, sf, "resolutions", "id", "draft_symbol").where(F.col("draft_symbol").startswith("A/C.1/"))
-    misread = F.concat(F.regexp_replace(F.regexp_replace("draft_symbol", r"^A/C\.1/", "A/C.I/"), r"/L\.", "/L,"), F.lit(" ;"))
+    """The symbols of all drafts as scans misread them, wherever the misreading applies."""
+    r = load(spark, sf, "resolutions", "id", "draft_symbol").where(~F.col("draft_symbol").rlike(r"J|L,|C\.I"))
+    misread = F.concat(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim("draft_symbol"), r"\bC\.1\b", "C.I"), r"\bL\.", "L,"), r"(?<=[02-9])1(?=[02-9]|$)", "J"), F.lit(" ;"))
     return r.select("id", t.repair_draft_symbol(misread).alias("repaired"))
 
 

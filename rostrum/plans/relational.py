@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.ballots import BALLOTS_SQL, SPONSORS_SQL, ballots, sponsors
 from ..operators.graph import components, edge_weights, network_stats, pagerank_rounds, ranked_components
 from ..operators.pairs import agreement, pairs_in_group
+from ..runtime import join_hot
 from ..tables import load
 from . import Registry
 
@@ -228,11 +229,11 @@ _ID = "speaker.name as name, nullif(speaker.country, '-') as country, speaker.or
 )
 def null_safe_speaker(spark: SparkSession, sf: str) -> DataFrame:
     """The identity of a speaker, where null equals null; the key is the lowest row."""
-    s = load(spark, sf, "speeches").select("id", "speaker.name", F.nullif("speaker.country", F.lit("-")).alias("country"), "speaker.organization")
-    k = s.groupBy("name", "country", "organization").agg(F.min("id").alias("speaker_id"))
-    a, b = s.alias("a"), k.alias("b")
-    on = F.col("a.name").eqNullSafe(F.col("b.name")) & F.col("a.country").eqNullSafe(F.col("b.country")) & F.col("a.organization").eqNullSafe(F.col("b.organization"))
-    return a.join(b, on).select("a.id", "b.speaker_id")
+    # nulls get a sign of their own, so that the identity is one key that may be hot (an office holds many rows)
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    s = load(spark, sf, "speeches").select("id", F.array(part(F.col("speaker.name")), part(F.nullif("speaker.country", F.lit("-"))), part(F.col("speaker.organization"))).alias("who"))
+    s = s.select("id", F.to_json("who").alias("who"))
+    return join_hot(s, s.groupBy("who").agg(F.min("id").alias("speaker_id")), "who", "inner").select("id", "speaker_id")
 
 
 @query(
@@ -288,11 +289,11 @@ def citation_edges(spark: SparkSession, sf: str) -> DataFrame:
     return c.groupBy(F.col("citing_id").alias("src"), F.col("cited_id").alias("dst")).agg(F.sum("weight").alias("weight"))
 
 
-_EDGES = f"{SPONSORS_SQL}, edges as (select a.yr, a.country_id as a, b.country_id as b, count(*) as weight from sponsors a join sponsors b on a.resolution_id = b.resolution_id and a.yr = b.yr and a.country_id < b.country_id group by all having count(*) >= 60)"
+_EDGES = f"{SPONSORS_SQL}, edges as (select a.yr, a.country_id as a, b.country_id as b, count(*) as weight from sponsors a join sponsors b on a.resolution_id = b.resolution_id and a.yr = b.yr and a.country_id < b.country_id group by all)"
 
 
 def cosponsors(spark: SparkSession, sf: str) -> DataFrame:
-    return edge_weights(pairs_in_group(sponsors(spark, sf), ["resolution_id", "yr"], "country_id"), ["yr"], least=60)
+    return edge_weights(pairs_in_group(sponsors(spark, sf), ["resolution_id", "yr"], "country_id"), ["yr"])
 
 
 @query("cosponsor_edges", f"with {_EDGES} select yr, a, b, weight from edges")

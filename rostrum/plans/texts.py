@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.symbols import canonical_sql, canonical_symbol
+from ..runtime import cut, join_hot
 from ..tables import load
 from . import Registry
 
@@ -22,10 +23,10 @@ _TOKENS = rf"list_filter(string_split_regex(text, '[ \t\n\r\f\v]+'), lambda w: r
   select doc_id, alpha, good, case when alpha < 50 then 0.0e0 else round(good / alpha, 4) end as score from n""",
 )
 def ocr_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """T4 G24 P10."""
+    """Tokens with letters, word-like ones, and the score that they give."""
     alpha, good = t.wordlike_counts(F.col("text"))
-    d = load(spark, sf, "documents", "doc_id", "text").where(F.col("text").isNotNull())
-    return d.select("doc_id", alpha.alias("alpha"), good.alias("good"), t.quality_score(F.col("text")).alias("score"))
+    d = load(spark, sf, "documents", "doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", alpha.alias("alpha"), good.alias("good"))
+    return d.select("*", t.quality_of(F.col("alpha"), F.col("good")).alias("score"))
 
 
 @query("corpus_quality", f"with k as (select lang, {_TOKENS} as toks from documents where text is not null) select lang, cast(sum(len(list_filter(toks, lambda w: length(regexp_replace(w, '[^A-Za-z]', '', 'g')) >= 2 and 2 * length(regexp_replace(w, '[^A-Za-z]', '', 'g')) >= length(w)))) as bigint) as good, cast(sum(len(toks)) as bigint) as alpha from k group by 1")
@@ -85,7 +86,7 @@ def symbol_index_lookup(spark: SparkSession, sf: str) -> DataFrame:
     keys = r.select("id", F.explode(F.array(F.struct(canonical_symbol(F.col("adopted_symbol")).alias("k"), F.lit(0).alias("rank")), F.struct(canonical_symbol(F.col("draft_symbol")).alias("k"), F.lit(1).alias("rank")))).alias("x"))
     idx = keys.where(F.col("x.k").isNotNull()).groupBy(F.col("x.k").alias("k")).agg(F.min_by("id", F.struct("x.rank", "id")).alias("resolution"))
     m = load(spark, sf, "speech_resolution_mentions", "id", "cited_symbol").withColumn("k", canonical_symbol(F.col("cited_symbol")))
-    return m.join(idx, "k", "left").select("id", "resolution")
+    return join_hot(cut(m.select("id", "k")), idx, "k").select("id", "resolution")  # one symbol may hold a third of the citations
 
 
 @query("name_forms", r"""with s as (select distinct name from sc_representatives), r as (select name, case when contains(name, ',') then trim(concat_ws(' ', trim(regexp_extract(name, ',\s*(.*)$', 1)), trim(regexp_extract(name, '^([^,]*)', 1)))) else trim(name) end as turned from s) select name, turned, upper(regexp_extract(turned, '(\S+)$', 1)) as last_word from r""")
@@ -95,10 +96,10 @@ def name_forms(spark: SparkSession, sf: str) -> DataFrame:
     return n.select("name", "turned", F.upper(F.regexp_extract("turned", r"(\S+)$", 1)).alias("last_word"))
 
 
-@query("topic_words", r"""select word, count(*) as n, count(distinct doc_id) as documents from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from documents where lang = 'en') group by 1""")
+@query("topic_words", r"""select word, count(*) as n, count(distinct doc_id) as documents from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from documents) group by 1""")
 def topic_words(spark: SparkSession, sf: str) -> DataFrame:
     """The words of the topic models."""
-    d = load(spark, sf, "documents", "doc_id", "lang", "text").where(F.col("lang") == "en")
+    d = load(spark, sf, "documents", "doc_id", "text")
     w = d.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), F.lit(1))).alias("word"))
     return w.groupBy("word").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("documents"))
 

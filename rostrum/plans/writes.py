@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import upsert
 from ..operators.merge import master_merge, quarantine, repoint, repoint_pairs
 from ..operators.pairs import pairs_in_group
+from ..runtime import join_hot
 from ..tables import load
 from . import Registry
 
@@ -86,7 +87,8 @@ def back_fill_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Missing foreign keys from a lookup."""
     m = load(spark, sf, "speech_resolution_mentions", "id", "cited_symbol", "resolution_id")
     r = load(spark, sf, "resolutions", "id", "adopted_symbol").where(F.col("adopted_symbol").isNotNull()).groupBy(F.col("adopted_symbol").alias("cited_symbol")).agg(F.min("id").alias("resolution_id"))
-    return upsert.back_fill(m, r, ["cited_symbol"], "resolution_id").select("id", "resolution_id")
+    found = join_hot(m, r.withColumnRenamed("resolution_id", "_fill"), "cited_symbol")  # one symbol may hold a third of the rows
+    return found.select("id", F.coalesce("resolution_id", "_fill").alias("resolution_id"))
 
 
 @query("flag_debates", "select doc_id, case when exists (select 1 from speeches s where s.document_id = doc_id and s.speech_type = 'explanation_of_vote') then true else coalesce(ods_used, false) end as flag from documents")
