@@ -48,13 +48,18 @@ TORN = re.compile(r"(?<=\w)(?:-|­)[ \t]*\n\s*(?=[^\W\d_])|(?<=[^\W\d_])- +(?=[^
 END = re.compile(r"[.!?…]\s+|\n\s*\n")
 
 
+#: What isn't a letter, of ASCII, as blanks.
+NO_LETTERS = "".join(chr(c) if chr(c).isalpha() else " " for c in range(128))
+
+
 def sentences(text: str) -> list[list[str]]:
     """The words of each sentence in lower case; words that a line end tears apart are joined first."""
-    if not text.isascii():
+    if not (plain := text.isascii()):
         text = unicodedata.normalize("NFKC", text)
     if "- " in text or "-\n" in text or "-\t" in text or "\xad" in text:
         text = TORN.sub("", text)
-    return [w for s in END.split(text.lower()) if (w := WORD.findall(s))]
+    split = END.split(text.lower())
+    return [w for s in split if (w := s.translate(NO_LETTERS).split() if plain else WORD.findall(s))]
 
 
 class Codes(dict):
