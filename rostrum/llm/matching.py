@@ -31,17 +31,17 @@ LEAST = 0.5
 
 @dataclass
 class Mixture:
-    """Prior of a match; means and variances of the similarities of matched and unmatched pairs."""
+    """Prior of an entry to have a match; means and variances of the similarities of matched and unmatched pairs."""
 
     weight: float
     mean: tuple[np.ndarray, np.ndarray]
     var: tuple[np.ndarray, np.ndarray]
 
-    def odds(self, x: np.ndarray) -> np.ndarray:
-        """Matched over unmatched density of each row, prior included. A similarity that is missing says nothing."""
+    def odds(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Matched over unmatched density of each row, prior included, which the `rows` of the same entry share. A similarity that is missing says nothing."""
         (ma, mb), (va, vb) = self.mean, self.var
         each = (x - mb) ** 2 / (2 * vb) - (x - ma) ** 2 / (2 * va) + 0.5 * np.log(vb / va)
-        return np.exp(np.clip(np.nansum(each, axis=1) + math.log(self.weight / (1 - self.weight)), -60, 60))
+        return np.exp(np.clip(np.nansum(each, axis=1) + math.log(self.weight / (1 - self.weight)) - np.log(rows), -60, 60))
 
 
 def by_entry(batches: Iterator[pd.DataFrame], entry: str) -> Iterator[pd.DataFrame]:
@@ -57,17 +57,25 @@ def by_entry(batches: Iterator[pd.DataFrame], entry: str) -> Iterator[pd.DataFra
         yield held.reset_index(drop=True)
 
 
-def constrained(b: pd.DataFrame, entry: str, odds: np.ndarray) -> np.ndarray:
-    """The posterior of one target of each row, where of one entry's targets one at most is meant; a row stands for `copies` targets."""
-    _, group = np.unique(b[entry].to_numpy(), return_inverse=True)
-    return odds / (1 + np.bincount(group, weights=odds * b["copies"].to_numpy(dtype=float))[group])
+def constrained(b: pd.DataFrame, entry: str, mix: Mixture | None, xs: list[str]) -> np.ndarray:
+    """The posterior that any target of each row is meant, where of one entry's targets one at most is meant; without a mixture by the first partition, in which the unlikely rows of an entry count as one together.
+
+    A row stands for all targets of an entry with the same similarities. How many they are says nothing against other rows, as densities and prior are those of rows too: the larger the tables, the more targets share a block by chance.
+    """
+    _, group, n = np.unique(b[entry].to_numpy(), return_inverse=True, return_counts=True)
+    if mix is None:
+        p = b["start"].to_numpy(dtype=float)
+        odds = p / (1 - p) / np.where(p < 0.5, n[group], 1)
+    else:
+        odds = mix.odds(b[xs].to_numpy(dtype=float), n[group])
+    return odds / (1 + np.bincount(group, weights=odds)[group])
 
 
 def moments(rows: list) -> Mixture | None:
-    """The mixture that sums of weights, known values, values and squares give, for matched and unmatched."""
-    sums = np.sum([np.array(r, dtype=float) for r in rows], axis=0) if rows else np.zeros(0)
-    parts = []
-    for part in np.split(sums, 2) if len(sums) else ():
+    """The mixture that sums give: the number of entries; then weights, known values, values and squares, for matched and unmatched."""
+    sums = np.sum([np.array(r, dtype=float) for r in rows], axis=0) if rows else np.zeros(1)
+    entries, parts = sums[0], []
+    for part in np.split(sums[1:], 2) if entries else ():
         known, first, second = part[1:].reshape(3, -1)
         if part[0] < 1e-6:
             return None
@@ -75,22 +83,21 @@ def moments(rows: list) -> Mixture | None:
         parts.append((part[0], mean, np.where(known > 0, second / np.maximum(known, 1e-9) - mean**2, 0.25)))
     if not parts:
         return None
-    (a, ma, va), (b, mb, vb) = parts
-    return Mixture(min(max(a / (a + b), 1e-4), 1 - 1e-4), (ma, mb), (np.maximum(va, 0) + RIDGE, np.maximum(vb, 0) + RIDGE))
+    (a, ma, va), (_, mb, vb) = parts
+    return Mixture(min(max(a / entries, 1e-4), 1 - 1e-4), (ma, mb), (np.maximum(va, 0) + RIDGE, np.maximum(vb, 0) + RIDGE))
 
 
 def fit(pairs: DataFrame, entry: str, xs: list[str], rounds: int = ROUNDS) -> Mixture | None:
-    """The mixture of pairs(entry, xs..., copies, start), whose partitions hold whole entries, sorted. A vector counts once for each entry that has it, by the posterior that any of its targets is meant: the many targets that only share a block with an entry are no better known than one of them. Each round reads the pairs where they lie; a row of sums for each partition comes to the driver."""
+    """The mixture of pairs(entry, xs..., start), whose partitions hold whole entries, sorted. A vector counts once for each entry that has it, by the posterior that any of its targets is meant: the many targets that only share a block with an entry are no better known than one of them. Each round reads the pairs where they lie; a row of sums for each partition comes to the driver."""
 
     def step(mix: Mixture | None) -> Mixture | None:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(2 * (1 + 3 * len(xs)))
+            total = np.zeros(1 + 2 * (1 + 3 * len(xs)))
             for b in by_entry(batches, entry):
                 x = b[xs].to_numpy(dtype=float)
-                n = b["copies"].to_numpy(dtype=float)
-                p = b["start"].to_numpy(dtype=float) if mix is None else n * constrained(b, entry, mix.odds(x))
+                p = constrained(b, entry, mix, xs)
                 known, filled = ~np.isnan(x), np.nan_to_num(x)
-                total += np.concatenate([v for w in (p, 1 - p) for v in ([w.sum()], w @ known, w @ filled, w @ filled**2)])
+                total += np.concatenate([[b[entry].nunique()], *(v for w in (p, 1 - p) for v in ([w.sum()], w @ known, w @ filled, w @ filled**2))])
             yield pd.DataFrame({"sums": [total.tolist()]})
 
         return moments([r[0] for r in pairs.mapInPandas(run, "sums array<double>").collect()])
@@ -121,7 +128,7 @@ def matches(pairs: DataFrame, entry: str, target: str, xs: list[str], start: Col
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in by_entry(batches, entry):
-            b = b.assign(confidence=constrained(b, entry, mix.odds(b[xs].to_numpy(dtype=float))))
+            b = b.assign(confidence=constrained(b, entry, mix, xs) / b["copies"])
             best = b.sort_values([entry, "confidence", target], ascending=[True, False, True]).drop_duplicates(entry)
             yield best[best["confidence"] * best["copies"] >= least][[entry, target, "confidence"]]
 
@@ -233,17 +240,18 @@ def debate_matches(spark: SparkSession, sf: str) -> DataFrame:
 
     def keys(session: str, day: str, near: bool) -> Column:
         """Of an entry (near) all sessions and days that may be meant; of a speech its own."""
-        d, s, none = F.col(day), F.col(session), F.array().cast("array<string>")
+        d, s = F.col(day), F.col(session)
         days = F.array(d)
         if near:
             turned = F.try_to_timestamp(F.concat_ws("-", F.year(d), F.date_format(d, "dd"), F.date_format(d, "MM"))).cast("date")
             days = F.concat(F.transform(F.sequence(F.lit(-3), F.lit(3)), lambda k: F.date_add(d, k)), F.array(turned, F.add_months(d, 12), F.add_months(d, -12)))
         sessions = F.array(s, s - 1, s + 1) if near else F.array(s)
-        by_day = F.transform(F.array_compact(days), lambda x: F.concat_ws("|", F.lit("d"), "bearer", x.cast("string")))
-        by_session = F.transform(sessions, lambda x: F.concat_ws("|", F.lit("s"), "bearer", x.cast("string")))
-        by_family = F.array(F.concat_ws("|", F.lit("n"), "family", s.cast("string")))
-        has = F.col("bearer").isNotNull()
-        return F.explode(F.array_distinct(F.concat(F.when(has & d.isNotNull(), by_day).otherwise(none), F.when(has & s.isNotNull(), by_session).otherwise(none), F.when(s.isNotNull(), by_family).otherwise(none))))
+
+        def of(who: str) -> Column:
+            each = lambda kind, xs: F.transform(F.array_compact(xs), lambda x: F.concat_ws("|", F.lit(f"{who} {kind}"), who, x.cast("string")))
+            return F.concat(each("day", days), each("session", sessions))
+
+        return F.explode(F.array_distinct(F.concat(F.when(F.col("bearer").isNotNull(), of("bearer")).otherwise(F.array().cast("array<string>")), of("family"))))
 
     left = listed.select("entry_id", keys("ga_session", "meeting_date", True).alias("key"))
     right = said.select("target_id", keys("session", "date", False).alias("key"))
@@ -269,13 +277,13 @@ def debate_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def number_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Of meeting numbers: 1 if equal, less by each misplaced figure; null if the typed one is missing."""
+    """Of meeting numbers: 1 if equal, less by each misplaced figure, of which two say little in a number of three or less; null if the typed one is missing."""
 
     def one(x: str | None, y: str | None) -> float | None:
         if not x or not y:
             return None
         d = within(x, y, 2)
-        return {0: 1.0, 1: 0.5, 2: 0.3 if len(x) > 3 else 0.1}.get(d, 0.0)
+        return {0: 1.0, 1: 0.7, 2: 0.4 if len(x) > 3 else 0.1}.get(d, 0.0)
 
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
 
@@ -301,8 +309,8 @@ def veto_matches(spark: SparkSession, sf: str) -> DataFrame:
 
     Blocks are the meeting number (typed in the symbol or in the agenda, and with one figure left out, for figures that are wrong, missing or exchanged) and the day, up to three days off. Instalments of one record with one day and title are one target, the first of them.
     """
-    number = lambda c: F.regexp_replace(F.regexp_extract(F.regexp_replace(F.upper(c), r"\((?:RESUMPTION|PART)[^)]*\)", ""), r"(?:^|[^\d/])(\d{1,6})\s*(?:TH|ST|ND|RD)?(?:\s*MEETING)?\s*$", 1), "^0+(?=.{3})", "")
-    in_agenda = F.coalesce(F.nullif(F.regexp_extract("agenda", r"(?i)meeting\s+(\d{2,6})", 1), F.lit("")), F.nullif(F.regexp_extract("agenda", r"(?i)(\d{2,6})(?:th|st|nd|rd)\s+meeting", 1), F.lit("")))
+    number = lambda c: F.regexp_replace(F.regexp_extract(F.regexp_replace(F.upper(c), r"\((?:RESUMPTION|PART)[^)]*\)", ""), r"(?:^|[^\d/])(\d+)\s*(?:TH|ST|ND|RD)?(?:\s*MEETING)?\s*$", 1), "^0+(?=.{3})", "")
+    in_agenda = F.coalesce(F.nullif(F.regexp_extract("agenda", r"(?i)meeting\s+(\d{2,})", 1), F.lit("")), F.nullif(F.regexp_extract("agenda", r"(?i)(\d{2,})(?:th|st|nd|rd)\s+meeting", 1), F.lit("")))
     bare_agenda = F.nullif(F.trim(F.regexp_replace(F.regexp_replace("agenda", r"(?i)[;(]?\s*(?:meeting\s+\d+|\d+(?:th|st|nd|rd)\s+meeting)\)?|no title given", ""), r"(?i)^\s*the\s+", "")), F.lit(""))
     v = load(spark, sf, "vetoes", "dppa_id", "date", "meeting_symbol", "agenda")
     v = v.select(F.col("dppa_id").alias("entry_id"), F.col("date").alias("va"), F.coalesce(F.nullif(number(F.col("meeting_symbol")), F.lit("")), in_agenda).alias("na"), bare_agenda.alias("title_a"))

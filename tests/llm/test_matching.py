@@ -81,3 +81,33 @@ def test_tables(spark, tmp_path):
     assert got == {(e[0], e[0]) for e in entries if e[0] < 90}
     got = {(r.entry_id, r.target_id) for r in veto_matches(spark, sf).collect()}
     assert got == {(k, 200 + k) for k in range(20)}
+
+
+def test_numbers_of_seven_figures(spark, tmp_path):
+    sf, first = str(tmp_path), date(1990, 1, 1)
+    docs = [(k, f"S/PV.{1234567 + 37 * k}", "SC", first + timedelta(k // 4), f"Question of item {k}", 1) for k in range(80)]
+    typed = ("S/PV.{}", "{}", None, "{}th meeting")
+    vetoes = [(k, None if k % 3 else first + timedelta(k // 4), (typed[k % 4] or "").format(1234567 + 37 * k) or None, f"Question of item {k}; meeting {1234567 + 37 * k}" if k % 4 == 2 else None) for k in range(60)]
+    write(spark, sf, "documents", docs, "doc_id long, symbol string, body string, date date, title string, instalment long")
+    write(spark, sf, "vetoes", vetoes, "dppa_id long, date date, meeting_symbol string, agenda string")
+    assert {(r.entry_id, r.target_id) for r in veto_matches(spark, sf).collect()} == {(k, k) for k in range(60)}
+
+
+def test_initials_of_several_persons(spark, tmp_path):
+    """An initial that several persons may bear is matched by surname and day where the session is missing."""
+    sf, first = str(tmp_path), date(1990, 9, 20)
+    given, surnames = ("Vasily", "Viktor", "Charles", "Amina"), ("Tarbolin", "Melkuras", "Zodomik", "Perrandu", "Sustefan", "Hanoueda")
+    docs, speeches, entries = [], [], []
+    for k in range(24):
+        name, day = f"{given[k % 4]} {surnames[k // 4]}", first + timedelta(k * 9)
+        docs.append((k + 1, f"A/45/PV.{k + 1}", 45, day))
+        speeches.append((k + 1, k + 1, (name, "Lemira"), "It is an honour to address the general debate. We agree."))
+        docs.append((k + 101, f"S/PV.{k + 1}", 45, day + timedelta(400)))
+        speeches.append((k + 101, k + 101, (name, "Lemira"), "We have nothing to add at this stage of the debate in the hall."))
+        entries.append((k + 1, 1, f"V. {surnames[k // 4]}" if k % 4 == 0 else name, None if k % 4 == 0 else 45, day))
+    write(spark, sf, "documents", docs, "doc_id long, symbol string, session int, date date")
+    write(spark, sf, "speeches", speeches, "id long, document_id long, speaker struct<name:string,country:string>, text string")
+    write(spark, sf, "general_debate_entries", entries, "id long, country_id long, speaker_name string, ga_session int, meeting_date date")
+    write(spark, sf, "sc_representatives", [(1, "Vasily Tarbolin")], "id long, name string")
+    write(spark, sf, "member_states", [(1, "Republic of Lemira", "LEM", "Lemira", None)], "state_id long, member_state string, iso_code string, other_names string, earlier_name string")
+    assert {(r.entry_id, r.target_id) for r in debate_matches(spark, sf).collect()} == {(k, k) for k in range(1, 25)}
