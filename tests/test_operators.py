@@ -230,6 +230,37 @@ def test_bayesian_points_runs_the_reference_sweeps(spark, monkeypatch):
     assert (seen["rounds"], seen["burn"], seen["thin"]) == (5000, 1000, 10)
 
 
+def test_bayesian_points_are_sampled_by_many_tasks(spark, monkeypatch):
+    from rostrum.operators import models
+
+    r = random.Random(8)
+    place = {c: -1.5 + 3 * c / 11 for c in range(12)}
+    side = lambda v: 1 if v % 2 else -1
+    cast = [(yr, c, v, "yes" if (x := place[c] * side(v) + r.gauss(0, 0.4) - r.uniform(-0.3, 0.3)) < -0.2 else "no" if x > 0.2 else "abstain") for yr in (2000, 2001) for v in range(100) for c in place]
+    df = spark.createDataFrame(cast, "yr int, country_id int, vote_id int, vote_position string")
+    monkeypatch.setattr(models, "SHARD", 200)
+    asked, real, found = [], models.together, []
+    monkeypatch.setattr(models, "together", lambda df, part, tasks, f, schema: asked.append(tasks) or real(df, part, tasks, f, schema))
+    for most in (1, 3):
+        monkeypatch.setattr(models, "slots", lambda df: most)
+        found.append({(p.yr, p.country_id): (p.ideal_point, p.se) for p in models.bayesian_points(df, rounds=60, burn=40, thin=2).collect()})
+    assert asked == [1, 3] and len(found[0]) == 24
+    assert found[0] == found[1]
+    x = [found[0][2000, c][0] for c in range(12)]
+    assert sum(a < b for a, b in combinations(x, 2)) / 66 > 0.9
+
+
+def test_normal_law_from_tables():
+    import numpy as np
+
+    from rostrum.operators.ordinal import law
+
+    p = np.array([1e-15, 1e-9, 1e-4, 0.009, 0.011, 0.3, 0.5, 0.77, 0.995])
+    known = [-7.941345, -5.997807, -3.719016, -2.365618, -2.290368, -0.524401, 0.0, 0.738847, 2.575829]
+    assert np.abs(law().ppf(p) - known).max() < 1e-4
+    assert np.abs(law().cdf(np.array(known)) - p).max() < 2e-6
+
+
 def test_vote_scores(spark):
     r = random.Random(4)
     data = []
