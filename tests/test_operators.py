@@ -272,6 +272,55 @@ def test_vote_scores(spark):
     assert sum(p.predicted == p.vote for p in s if p.x is not None) / sum(p.x is not None for p in s) > 0.9
 
 
+def test_boosted_trees_are_those_of_the_distributed_trainer(spark):
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from rostrum.operators.boosting import boosted
+
+    r = random.Random(2)
+    data = [(k, round(r.gauss(0, 1), 1), float(r.randint(0, 5)), r.uniform(1, 3)) for k in range(200)]
+    data = [(*row, float(row[1] + 0.3 * row[2] + r.gauss(0, 0.5) > 1)) for row in data]
+    df = VectorAssembler(inputCols=["x", "z"], outputCol="f").transform(spark.createDataFrame(data, "id int, x double, z double, w double, y double").coalesce(1))
+    model = GBTClassifier(featuresCol="f", labelCol="y", weightCol="w", maxIter=3, maxDepth=4, maxBins=255, stepSize=0.1, seed=42).fit(df)
+    known = [p[0] for p in model.transform(df).orderBy("id").select(vector_to_array("probability")[1]).collect()]
+    a = np.array(data)
+    assert np.abs(boosted(a[:, 1:3], a[:, 3] * a[:, 4], a[:, 3] * (1 - a[:, 4]), 3, 4, 255, 0.1) - known).max() < 1e-9
+
+
+def test_vote_scores_train_by_task(spark, monkeypatch):
+    from rostrum.operators import models
+
+    r = random.Random(9)
+    data = []
+    for k in range(400):
+        x, z = r.gauss(0, 1), r.randint(0, 5)
+        data.append((k, None if k % 50 == 0 else "yes" if x + 0.3 * z > 1 else "no" if r.random() < 0.8 else "abstain", round(x, 1) if k % 9 else None, z))
+    df = spark.createDataFrame(data, "id int, vote string, x double, z int")
+    seen, found = [], []
+    for name in ("_by_task", "_by_spark"):
+        monkeypatch.setattr(models, name, lambda *a, name=name, real=getattr(models, name): seen.append(name) or real(*a))
+    for most in (10_000, 1):
+        monkeypatch.setattr(models, "ONE_TASK", most)
+        found.append({p.id: p for p in models.vote_scores(df, "vote", ["x", "z"], iterations=2, depth=3).collect()})
+    assert seen == ["_by_task", "_by_spark"] and len(found[0]) == len(found[1]) == 400
+    apart = [abs(found[0][k][c] - found[1][k][c]) for k in found[0] for c in ("p_yes", "p_no", "p_abstain")]
+    assert sum(apart) / len(apart) < 0.01  # the trainers may choose differently among equally good splits
+    assert found[0][0].anomaly_score is None and found[0][0].p_yes is not None
+
+
+def test_thresholds_of_many_values_share_the_weight():
+    import numpy as np
+
+    from rostrum.operators.boosting import thresholds
+
+    assert list(thresholds(np.array([3.0, 1.0, 2.0, 9.0]), np.array([1.0, 1.0, 1.0, 0.0]), 4)) == [1.5, 2.5]
+    t = thresholds(np.arange(1000.0), np.ones(1000), 10)
+    assert len(t) == 9 and np.abs(np.diff(t) - 100).max() <= 1
+
+
 def test_vote_anomalies_trains_in_full(spark, monkeypatch):
     from pyspark.ml import classification
 
