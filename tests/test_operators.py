@@ -367,6 +367,24 @@ def test_topics_pass_over_all_texts(spark, monkeypatch):
     assert asked["maxIter"] == 20 * 3 and asked["subsamplingRate"] == 1 / 3  # 20 passes in batches of 512 at most
 
 
+def test_topics_are_found_by_many_tasks(spark, monkeypatch):
+    from rostrum.operators import models
+
+    r = random.Random(7)
+    words = ["".join(r.choice("bcdfgklmnprst") + r.choice("aeiou") for _ in range(3)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(words[20 * (i % 3) : 20 * (i % 3) + 20]) for _ in range(40))) for i in range(600)] + [(600, "zzz " * 40)], "doc_id long, text string")
+    asked, real = [], models.together
+    monkeypatch.setattr(models, "together", lambda df, part, tasks, f, schema: asked.append(tasks) or real(df, part, tasks, f, schema))
+    monkeypatch.setattr(models, "TEXTS", 200)
+    named, weights = models.topics(docs, "doc_id", "text", k=3, rounds=4, batch=100)
+    assert asked == [3]
+    of = {w.doc_id: w.topic_num for w in weights.collect() if w.weight > 0.8}
+    assert set(of) == set(range(600)) and all(of[i] == of[i % 3] for i in of) and len({of[i] for i in range(3)}) == 3
+    for row in named.collect():
+        part = next(i for i in range(3) if of[i] == row.topic_num)
+        assert len(row.keywords) == 10 and set(row.keywords) <= set(words[20 * part : 20 * part + 20])
+
+
 def test_archives_and_tables(spark, tmp_path):
     from rostrum.sources import files
 
